@@ -10,7 +10,26 @@ from pyspark.sql import functions as F
 from ..session import table
 from .furniture import furniture_lines, without_furniture
 from .leaks import find_leaks
+from .lookalikes import same_on_screen
 from .neardup import expand, near_duplicates
+from .nearest import nearest
+from .tokens import encode_texts
+
+
+def p2_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    articles, aliases = table(spark, sf_dir, "articles"), table(spark, sf_dir, "ticker_aliases")
+    fields = F.explode(F.array(*[F.struct(F.lit(f"articles.{c}").alias("field"), F.col(c).alias("text")) for c in ("title", "content")])).alias("f")
+    texts = articles.select(F.col("article_id").alias("key"), fields).select("f.field", "key", "f.text")
+    names = aliases.select(F.lit("ticker_aliases.alias_normalized").alias("field"), F.col("id").cast("string").alias("key"), F.col("alias_normalized").alias("text"))
+    return same_on_screen(texts.unionByName(names).where("text <> ''"))
+
+
+def p3_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    linked = table(spark, sf_dir, "article_ticker_sentiment").select("article_id", "ticker").distinct()
+    times = table(spark, sf_dir, "articles").where("published_at is not null").groupBy("article_id").agg(F.min("published_at").alias("published_at"))
+    asked = linked.join(times, "article_id").select(F.col("article_id").alias("id"), F.col("ticker").alias("entity"), F.unix_micros("published_at").alias("us"))
+    bars = table(spark, sf_dir, "intraday_prices").select(F.col("ticker").alias("entity"), F.unix_micros("ts").alias("us"))
+    return nearest(asked, bars, 600 * 1_000_000).select(F.col("id").alias("article_id"), F.col("entity").alias("ticker"), F.col("bar").alias("bar_us"))
 
 
 def p5_found(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -26,16 +45,18 @@ def p6_clean(spark: SparkSession, sf_dir: str) -> DataFrame:
     return without_furniture(table(spark, sf_dir, "articles"), "article_id", "category", "content").toDF("article_id", "content")
 
 
+def p8_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return encode_texts(table(spark, sf_dir, "documents"), "doc_id", "text")
+
+
 def p9_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return find_leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (p5_found, p6_found, p6_clean, p9_found)}
+    return {f.__name__: f for f in (p2_found, p3_found, p5_found, p6_found, p6_clean, p8_ids, p9_found)}
 
 
 def oracle_sql() -> dict[str, str]:
     return {}
 
-
-_ = F
