@@ -13,9 +13,14 @@ from .leaks import find_leaks
 from .lookalikes import same_on_screen
 from .neardup import expand, near_duplicates
 from .nearest import nearest
+from .sentences import sentence_ends
 from .tokens import encode_texts
 
 
+def p1_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sentence_ends(table(spark, sf_dir, "articles"), "article_id", ["content", "sapo"]).withColumnRenamed("id", "article_id")
+
+
 def p2_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     articles, aliases = table(spark, sf_dir, "articles"), table(spark, sf_dir, "ticker_aliases")
     fields = F.explode(F.array(*[F.struct(F.lit(f"articles.{c}").alias("field"), F.col(c).alias("text")) for c in ("title", "content")])).alias("f")
@@ -54,7 +59,7 @@ def p9_found(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (p2_found, p3_found, p5_found, p6_found, p6_clean, p8_ids, p9_found)}
+    return {f.__name__: f for f in (p1_found, p2_found, p3_found, p5_found, p6_found, p6_clean, p8_ids, p9_found)}
 
 
 def oracle_sql() -> dict[str, str]:
