@@ -6,14 +6,18 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from . import market
+
+PARTS = (market,)
+
 
 def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
     raise NotImplementedError
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {}
+    return {name: query for part in PARTS for name, query in part.QUERIES.items()}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {name: sql for part in PARTS for name, sql in part.SQL.items()}
