@@ -13,6 +13,7 @@ from .leaks import find_leaks
 from .lookalikes import same_on_screen
 from .neardup import expand, near_duplicates
 from .nearest import nearest
+from .reading import reading_levels
 from .sentences import sentence_ends
 from .tokens import encode_texts
 
@@ -58,8 +59,16 @@ def p9_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return find_leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def p10_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return reading_levels(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")).where("level = 4").select("doc_id")
+
+
+def p10_levels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return reading_levels(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (p1_found, p2_found, p3_found, p5_found, p6_found, p6_clean, p8_ids, p9_found)}
+    return {f.__name__: f for f in (p1_found, p2_found, p3_found, p5_found, p6_found, p6_clean, p8_ids, p9_found, p10_found, p10_levels)}
 
 
 def oracle_sql() -> dict[str, str]:

@@ -109,8 +109,8 @@ def unstable() -> list[tuple[int, int]]:
 
 
 @functools.cache
-def _suspect() -> re.Pattern[str]:
-    return re.compile("[" + "".join(f"\\U{a:08x}-\\U{b:08x}" for a, b in unstable()) + "]")
+def _suspect() -> frozenset[str]:
+    return frozenset(chr(c) for a, b in unstable() for c in range(a, b + 1))
 
 
 @functools.cache
@@ -124,7 +124,7 @@ def fold(text: str) -> str:
         return text
     if "\r\n" in text:
         text = text.replace("\r\n", "\n")
-    if _suspect().search(text) is None:
+    if _suspect().isdisjoint(set(text)):
         return text if unicodedata.is_normalized("NFC", text) else unicodedata.normalize("NFC", text)
     return unicodedata.normalize("NFC", text.translate(_table()))
 
