@@ -45,7 +45,8 @@ def rolling_totals(rows: DataFrame, entity: str, day: str, value: str, periods:
     totals = spread.groupBy("entity", F.date_add("day", F.col("ahead")).alias("day")).agg(*[F.sum(F.when(F.col("ahead") < n, F.col("v")).otherwise(0)).alias(f"total_{n}") for n in periods])
     spans = base.groupBy("entity").agg(F.min("day").alias("first"), F.max("day").alias("last"))
     calendar = spans.select("entity", F.explode(F.sequence("first", "last")).alias("day"), "first")
-    full = calendar.join(totals, ["entity", "day"], "left")
+    # the planner takes the exploded calendar to be as small as the spans and would broadcast it
+    full = calendar.hint("merge").join(totals, ["entity", "day"], "left")
     out = [F.coalesce(f"total_{n}", F.lit(0)).alias(f"total_{n}") for n in periods]
     full = full.select("entity", "day", "first", *out)
     return full.select(F.col("entity").alias(entity), F.col("day").alias(day), "first", *[f"total_{n}" for n in periods], *[(F.col(f"total_{n}") / n).alias(f"mean_{n}") for n in periods])
