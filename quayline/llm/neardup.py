@@ -149,7 +149,7 @@ def near_duplicates(records: DataFrame, key: str, text: str, settings: Settings
     banded = classes.select("class_id", F.explode("bands").alias("band"))
     a, b = banded.alias("a"), banded.alias("b")
     candidates = (
-        a.join(b, F.col("a.band") == F.col("b.band"))
+        a.hint("merge").join(b, F.col("a.band") == F.col("b.band"))
         .where("a.class_id < b.class_id")
         .select(F.col("a.class_id").alias("class_a"), F.col("b.class_id").alias("class_b"))
         .distinct()
