@@ -44,47 +44,47 @@ _HASHES = WordHashes()
 _LINKS = {w for w in CONNECTIVES}
 _MARKS = re.compile(r"[.!?…。]+")
 _CLAUSES = re.compile(r"[,;:(]")
+#: Letters of scripts other than Latin, with the marks and signs among them.
+_OTHER = re.compile("[\u0370-\u1dff\u2c80-\ufaff\U00010000-\U0003ffff]+")
 FEATURES = ("grade", "graded_high", "graded_low", "rarity", "rare", "diversity", "connectives", "clauses", "sentence_length", "word_length", "length")
 #: How many of them, at the front, come from the graded vocabulary.
 GRADED = 3
 
 
-def is_latin(text: str) -> bool:
-    """Whether more than half of the letters are Latin."""
-    if text.isascii():
-        return any(map(str.isalpha, text))
-    wide = sum(map(_other, text))
-    return 2 * wide < sum(map(str.isalpha, text))
-
-
-def _other(ch: str) -> bool:
-    code = ord(ch)
-    return code > 0x24F and not (0x1E00 <= code <= 0x1EFF or 0x300 <= code <= 0x36F) and ch.isalpha()
-
-
 @dataclass
 class Text:
     """What the features need of a text: word buckets and the shape of its sentences."""
 
     buckets: np.ndarray
+    kinds: int
     shape: tuple[float, float, float, float]
 
 
-def parse(text: str | None) -> Text | None:
+def read(text: str | None) -> tuple[str, list[str], int] | None:
+    """Screen form, words and their length of a text of which more than half is in Latin letters."""
     if not text:
         return None
     shown = screen.fold(text)
-    if not is_latin(shown):
-        return None
     found = screen._words().findall(shown.lower())
-    if not found:
+    chars = sum(map(len, found))
+    if not chars or (not shown.isascii() and 2 * sum(map(len, _OTHER.findall(shown))) >= chars):
         return None
+    return shown, found, chars
+
+
+def bucket(found: list[str]) -> np.ndarray:
+    return (_HASHES.of(found) >> np.uint64(46)).astype(np.int32)
+
+
+def parse(text: str | None) -> Text | None:
+    known = read(text)
+    if known is None:
+        return None
+    shown, found, chars = known
     n = len(found)
     sentences = max(1, len(_MARKS.findall(shown)))
     links = sum(map(_LINKS.__contains__, found))
-    chars = sum(map(len, found))
-    buckets = (_HASHES.of(found) >> np.uint64(46)).astype(np.int32)
-    return Text(buckets, (links / n, (len(_CLAUSES.findall(shown)) + links) / sentences, float(np.log1p(n / sentences)), chars / n))
+    return Text(bucket(found), len(set(found)), (links / n, (len(_CLAUSES.findall(shown)) + links) / sentences, float(np.log1p(n / sentences)), chars / n))
 
 
 class Lexicon:
@@ -104,17 +104,20 @@ class Lexicon:
             self.docs[own] += 1
         self.mean = float(np.mean(levels))
 
-    def features(self, t: Text, own_level: float | None = None) -> np.ndarray:
-        """``own_level``: the level that this labelled text itself put into the grades."""
-        kinds, first = np.unique(t.buckets, return_inverse=True)
-        sums, docs = self.sums[kinds], self.docs[kinds]
-        if own_level is not None:
-            sums, docs = sums - own_level, docs - 1
-        grade = ((sums + SMOOTH * self.mean) / (docs + SMOOTH))[first]
-        rarity = self.rarity[t.buckets]
-        n = len(t.buckets)
-        links, clauses, sentence, word = t.shape
-        return np.array([grade.mean(), (grade > self.mean + 0.75).mean(), (grade < self.mean - 0.75).mean(), rarity.mean(), (rarity > 10).mean(), len(kinds) / np.sqrt(n), links, clauses, sentence, word, np.log1p(n)])
+    def features(self, texts: list[Text], own_levels: np.ndarray | None = None) -> np.ndarray:
+        """One row per text. ``own_levels``: what these labelled texts themselves put into the grades."""
+        n = np.array([len(t.buckets) for t in texts])
+        at = np.concatenate([[0], np.cumsum(n)[:-1]])
+        flat = np.concatenate([t.buckets for t in texts])
+        sums, docs = self.sums[flat], self.docs[flat]
+        if own_levels is not None:
+            sums, docs = sums - np.repeat(own_levels, n), docs - 1
+        grade = (sums + SMOOTH * self.mean) / (docs + SMOOTH)
+        rarity = self.rarity[flat]
+        means = [np.add.reduceat(x.astype(np.float64), at) / n for x in (grade, grade > self.mean + 0.75, grade < self.mean - 0.75, rarity, rarity > 10)]
+        kinds = np.array([t.kinds for t in texts])
+        shape = np.array([t.shape for t in texts])
+        return np.column_stack([*means, kinds / np.sqrt(n), shape, np.log1p(n)])
 
 
 class Ordinal:
@@ -159,7 +162,7 @@ class Ordinal:
 def _tally(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     counts = np.zeros(BUCKETS, np.int64)
     for batch in batches(it, 500):
-        parsed = [t.buckets for t in map(parse, batch.column(0).to_pylist()) if t]
+        parsed = [bucket(known[1]) for known in map(read, batch.column(0).to_pylist()) if known]
         if parsed:
             counts += np.bincount(np.concatenate(parsed), minlength=BUCKETS)
     used = np.flatnonzero(counts)
@@ -169,12 +172,12 @@ def _tally(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def _grade(it: Iterator[pa.RecordBatch], sent) -> Iterator[pa.RecordBatch]:
     lexicon, model = sent.value
     for batch in batches(it, 500):
-        ids, rows = [], []
+        ids, texts = [], []
         for key, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
             if (t := parse(text)) is not None:
                 ids.append(key)
-                rows.append(lexicon.features(t))
-        levels = model.levels(np.array(rows)) if rows else np.empty(0)
+                texts.append(t)
+        levels = model.levels(lexicon.features(texts)) if texts else np.empty(0)
         yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(levels.astype(np.int32))], ["doc_id", "level"])
 
 
@@ -192,8 +195,7 @@ def fit(documents: DataFrame, labels: DataFrame) -> tuple[Lexicon, Ordinal] | No
         return None
     texts, levels = [t for t, _ in parsed], np.array([float(level) for _, level in parsed])
     lexicon.grade(texts, levels)
-    x = np.array([lexicon.features(t, level) for t, level in zip(texts, levels)])
-    return lexicon, Ordinal(x, np.round(levels + 1e-9))
+    return lexicon, Ordinal(lexicon.features(texts, levels), np.round(levels + 1e-9))
 
 
 def reading_levels(documents: DataFrame, labels: DataFrame) -> DataFrame:
