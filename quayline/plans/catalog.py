@@ -6,9 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import market, panel
+from . import market, panel, reports
 
-PARTS = (panel, market)
+PARTS = (panel, reports, market)
 
 
 def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
