@@ -73,6 +73,10 @@ def f_p(f: float, d1: float, d2: float) -> float:
     return 1.0 if f <= 0 else beta_inc(d2 / 2.0, d1 / 2.0, d2 / (d2 + d1 * f))
 
 
-@F.pandas_udf("double")
-def t_p_value(t: pd.Series, df: pd.Series) -> pd.Series:
-    return pd.Series([t_p(a, b) if a is not None and not np.isnan(a) and b > 0 else None for a, b in zip(t, df)], dtype="float64")
+def _t_p(t: pd.Series, df: pd.Series) -> pd.Series:
+    return pd.Series([t_p(a, b) if not np.isnan(a) and b > 0 else None for a, b in zip(t, df)], dtype="float64")
+
+
+def t_p_value(t: Column, df: Column) -> Column:
+    """Two-sided p-value of t statistics; null stays null."""
+    return F.pandas_udf(_t_p, "double")(t, df)

@@ -6,9 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import market, panel, reports
+from . import intraday, market, panel, reports, series
 
-PARTS = (panel, reports, market)
+PARTS = (panel, reports, series, intraday, market)
 
 
 def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
