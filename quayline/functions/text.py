@@ -137,7 +137,7 @@ def sentences(c: Column, least: int = 10) -> Column:
 
 def full_text(*parts: Column) -> Column:
     """Cleaned parts that are not empty, joined as sentences."""
-    return F.concat_ws(". ", *[F.nullif(clean(p), F.lit("")) for p in parts])
+    return F.array_join(F.filter(F.array(*map(clean, parts)), lambda x: x != ""), ". ")
 
 
 def token_match(text: Column, token: Column) -> Column:
@@ -153,4 +153,4 @@ def short_name(c: Column) -> Column:
     """Company name without legal forms; null where nothing changes or is left."""
     short = F.regexp_replace(c, "(?iuU)" + "|".join(LEGAL_FORMS), "")
     short = collapse(F.regexp_replace(short, "^[ \\-–—]+|[ \\-–—]+\\z", ""))
-    return F.nullif(F.nullif(short, F.lit("")), c)
+    return let(short, lambda x: F.when((x != "") & (x != c), x))

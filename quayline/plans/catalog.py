@@ -6,9 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import intraday, market, panel, reports, series, texts
+from . import intraday, market, panel, reports, research, series, texts
 
-PARTS = (panel, reports, series, intraday, texts, market)
+PARTS = (panel, reports, series, intraday, texts, research, market)
 
 
 def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
