@@ -5,7 +5,11 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-SERIES = Window.partitionBy("ticker").orderBy("date")
+
+
+def by_day():
+    """The rows of a ticker in the order of their days."""
+    return Window.partitionBy("ticker").orderBy("date")
 
 
 def ratio(a: Column, b: Column) -> Column:
@@ -13,9 +17,9 @@ def ratio(a: Column, b: Column) -> Column:
     return F.try_divide(a, b)
 
 
-def guarded_log(x: str, w=SERIES) -> Column:
+def guarded_log(x: str, w=None) -> Column:
     """ln of the change to the row before; null unless both are above 0."""
-    now, before = F.col(x), F.lag(x).over(w)
+    now, before = F.col(x), F.lag(x).over(w or by_day())
     return F.when((now > 0) & (before > 0), F.ln(now / before))
 
 
@@ -26,10 +30,11 @@ def price_features(prices: DataFrame, variant: str = "log") -> DataFrame:
     returns. ``variant="simple"``: the ratio less one, from two rows on, and that of simple returns.
     A zero close or mean gives null, never an infinite value.
     """
-    five = SERIES.rowsBetween(-4, 0)
+    w = by_day()
+    five = w.rowsBetween(-4, 0)
     close = F.col("close")
-    step = {f"return_{n}d": ratio(close, F.lag("close", n).over(SERIES)) - 1 for n in (1, 3, 5)}
-    ahead = {f"forward_return_{n}d": ratio(F.lead("close", n).over(SERIES), close) - 1 for n in (1, 3, 5)}
+    step = {f"return_{n}d": ratio(close, F.lag("close", n).over(w)) - 1 for n in (1, 3, 5)}
+    ahead = {f"forward_return_{n}d": ratio(F.lead("close", n).over(w), close) - 1 for n in (1, 3, 5)}
     out = prices.select("*", *[v.alias(k) for k, v in (step | ahead).items()], guarded_log("close").alias("log_return"), guarded_log("volume").alias("volume_growth"))
     change = ratio(F.col("volume").cast("double"), F.avg("volume").over(five))
     if variant == "simple":

@@ -12,6 +12,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..session import columns
+
 BLOCK_DAYS = 256
 
 
@@ -27,7 +29,7 @@ def latest(df: DataFrame, keys: list[str], order: str, values: list[str]) -> Dat
 
 def daily(prices: DataFrame, *values: str) -> DataFrame:
     """Kept rows of a price table: ticker, block, date and the values."""
-    rows = prices.select("ticker", "date", "updated_at", *values)
+    rows = columns(prices, "ticker", "date", "updated_at", *values)
     rows = rows.withColumn("block", F.floor(F.unix_date("date") / BLOCK_DAYS).cast("int")).repartition("ticker", "block")
     return latest(rows, ["ticker", "block", "date"], "updated_at", list(values))
 
@@ -63,14 +65,18 @@ def right_features(kept: DataFrame) -> DataFrame:
 
 
 def rolling_findings(prices: DataFrame, features: DataFrame, share: float = 0.02, least: float = 0.0003) -> DataFrame:
-    """(ticker, day, kind): idle and surging days, and stored features that do not follow from the prices."""
+    """(ticker, day, kind): idle and surging days, and stored features that do not follow from the prices.
+
+    Null stored or right values are no finding; repeated feature rows give one. Other columns of the
+    tables do not matter, whatever their names.
+    """
     kept = daily(prices, "close", "volume")
     totals = rolling_totals(kept, "ticker", "date", "volume")
     full = totals.where(F.col("date") >= F.date_add("first", 29))
     kind = F.when((F.col("total_7") == 0) & (F.col("total_30") > 0), "idle").when(2 * F.col("total_7") > F.col("total_30"), "surge")
     days = full.select("ticker", F.date_format("date", "yyyy-MM-dd").alias("day"), kind.alias("kind")).where("kind is not null")
     names = ["volume_change_5d", "volatility_5d"]
-    stored = features.select("ticker", "date", *[F.col(n).alias(f"stored_{n}") for n in names])
+    stored = columns(features, "ticker", "date", *names).select("ticker", "date", *[F.col(n).alias(f"stored_{n}") for n in names])
     both = stored.join(right_features(kept), ["ticker", "date"])
     wrong = both.select("ticker", F.date_format("date", "yyyy-MM-dd").alias("day"), F.explode(F.array(*[F.when(_differs(n, share, least), F.lit(n)) for n in names])).alias("kind"))
     return days.unionByName(wrong.where("kind is not null").distinct())

@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..session import checkpoint
+from ..session import checkpoint, columns
 from .rolling import latest
 
 
@@ -210,6 +210,8 @@ def flag_series(rows: DataFrame, updated: str, close: str, volume: str | None, b
 def implausible(prices: DataFrame, intraday: DataFrame) -> DataFrame:
     """(measure, ticker, bar_interval, at_time) over daily and intraday prices."""
     day = 86_400_000_000
+    prices = columns(prices, "ticker", "date", "close", "volume", "low", "high", "updated_at")
+    intraday = columns(intraday, "ticker", "ts", "interval", "close", "low", "high", "created_at")
     daily = prices.dropna(subset=["ticker", "date"]).select("ticker", F.lit("1d").alias("bar_interval"), (F.unix_date("date").cast("long") * day).alias("ts"), "close", "volume", "low", "high", "updated_at")
     bars = intraday.dropna(subset=["ticker", "ts", "interval"]).select("ticker", F.col("interval").alias("bar_interval"), F.unix_micros("ts").alias("ts"), "close", F.lit(None).cast("bigint").alias("volume"), "low", "high", F.col("created_at").alias("updated_at"))
     minutes = F.when(F.lower("bar_interval").endswith("h"), F.regexp_extract("bar_interval", r"(\d+)", 1).try_cast("long") * 60).otherwise(F.regexp_extract("bar_interval", r"(\d+)", 1).try_cast("long"))

@@ -14,7 +14,6 @@ from .panel import dated_scores
 
 INTERVAL, AHEAD = "15m", 8
 DAY_US = 86_400_000_000
-BAR_ORDER = Window.partitionBy("ticker").orderBy("ts")
 # Minutes of the local day at which trading opens and closes.
 OPEN, CLOSE = 540, 885
 
@@ -35,9 +34,10 @@ def timed_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
 def bar_returns(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Bars of one interval with the log return to the bar before and those of the next bars."""
     rows = base.bars(spark, sf_dir, INTERVAL).select("ticker", "ts", F.unix_micros("ts").alias("bar_us"), "close")
-    rows = rows.withColumn("bar_return", guarded_log("close", BAR_ORDER))
-    ahead = [F.lead("bar_return", k).over(BAR_ORDER).alias(f"fwd_bar_{k}") for k in range(1, AHEAD + 1)]
-    return rows.select("ticker", "bar_us", "close", "bar_return", *ahead, F.sum("bar_return").over(BAR_ORDER.rowsBetween(1, AHEAD)).alias("fwd_cum"))
+    order = Window.partitionBy("ticker").orderBy("ts")
+    rows = rows.withColumn("bar_return", guarded_log("close", order))
+    ahead = [F.lead("bar_return", k).over(order).alias(f"fwd_bar_{k}") for k in range(1, AHEAD + 1)]
+    return rows.select("ticker", "bar_us", "close", "bar_return", *ahead, F.sum("bar_return").over(order.rowsBetween(1, AHEAD)).alias("fwd_cum"))
 
 
 def article_bars(spark: SparkSession, sf_dir: str) -> DataFrame:

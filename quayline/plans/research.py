@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from ..functions import text as T
 from ..operators.analog import analog_forecasts
-from ..operators.features import SERIES, price_features
+from ..operators.features import by_day, price_features
 from ..operators.granger import granger_by_ticker, var_by_ticker
 from ..operators.inference import predict
 from ..operators.learning import chronological_split, class_metrics, classify, regress, value_metrics
@@ -58,7 +58,7 @@ _BASE = ["log_return", "volume_growth", "clv"]
 def dataset(spark: SparkSession, sf_dir: str, size: int = 10) -> tuple[DataFrame, list[str], list[str]]:
     """Rolling features of all tickers with the next return; price features, and those of sentiment besides."""
     rows = full_panel(spark, sf_dir).withColumn("sentiment_score", F.coalesce("sentiment_score", F.lit(0.0))).withColumn("news_count", F.coalesce("news_count", F.lit(0)).cast("double"))
-    out = rolling_past(rows.select("ticker", "date", *_BASE, "sentiment_score", "news_count").withColumn("target_return", F.lead("log_return").over(SERIES)), [*_BASE, "sentiment_score", "news_count"], size, SERIES)
+    out = rolling_past(rows.select("ticker", "date", *_BASE, "sentiment_score", "news_count").withColumn("target_return", F.lead("log_return").over(by_day())), [*_BASE, "sentiment_score", "news_count"], size, by_day())
     names = lambda cols: [f"{c}_{k}" for c in cols for k in ("mean", "std", "last")]
     plain, full = names(_BASE), names([*_BASE, "sentiment_score", "news_count"])
     return out.dropna(subset=[*full, "target_return"]).withColumn("target_up", (F.col("target_return") > 0).cast("int")), plain, full

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions.stats import safe_corr, t_p_value, t_statistic
-from ..operators.features import SERIES, price_features
+from ..operators.features import by_day, price_features
 from ..operators.windows import encoded_windows, forward_sum, lag_matrix, rolling_past, running_path, shifted
 from . import base
 from .base import r6, sql_r6
@@ -26,23 +26,23 @@ def _features(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def win_07_signed_shift(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _features(spark, sf_dir).select("ticker", "date", r6(shifted("close", 2, SERIES)).alias("past"), r6(shifted("close", -2, SERIES)).alias("ahead"))
+    return _features(spark, sf_dir).select("ticker", "date", r6(shifted("close", 2, by_day())).alias("past"), r6(shifted("close", -2, by_day())).alias("ahead"))
 
 
 def win_08_lag_matrix(spark: SparkSession, sf_dir: str) -> DataFrame:
-    out = lag_matrix(_features(spark, sf_dir).select("ticker", "date", "log_return", "volume_growth"), ["log_return", "volume_growth"], LAGS, SERIES)
+    out = lag_matrix(_features(spark, sf_dir).select("ticker", "date", "log_return", "volume_growth"), ["log_return", "volume_growth"], LAGS, by_day())
     return out.select("ticker", "date", *[r6(c).alias(c) for c in out.columns if "_lag_" in c])
 
 
 def win_11_rolling_past(spark: SparkSession, sf_dir: str) -> DataFrame:
-    out = rolling_past(_features(spark, sf_dir).select("ticker", "date", "log_return"), ["log_return"], 10, SERIES)
+    out = rolling_past(_features(spark, sf_dir).select("ticker", "date", "log_return"), ["log_return"], 10, by_day())
     return out.select("ticker", "date", *[r6(f"log_return_{k}").alias(f"log_return_{k}") for k in ("mean", "std", "last")])
 
 
 def win_20_feature_dataset(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rolling features of all tickers with their target; rows with a null in either are left out."""
     rows = panel(spark, sf_dir).select("ticker", "date", "log_return", "sentiment_score", "target_up")
-    out = rolling_past(rows, ["log_return", "sentiment_score"], 9, SERIES)
+    out = rolling_past(rows, ["log_return", "sentiment_score"], 9, by_day())
     names = [f"{c}_{k}" for c in ("log_return", "sentiment_score") for k in ("mean", "std", "last")]
     return out.dropna(subset=names).select("ticker", "date", "target_up", *[r6(n).alias(n) for n in names])
 
@@ -53,7 +53,7 @@ def events(spark: SparkSession, sf_dir: str) -> DataFrame:
     day = rows.groupBy("date").agg(F.sum("log_return").alias("_sum"), F.count("log_return").alias("_n"))
     rows = rows.join(day, "date").withColumn("market", F.when(F.col("_n") > 1, (F.col("_sum") - F.col("log_return")) / (F.col("_n") - 1)))
     own, market = F.col("log_return"), F.col("market")
-    out = [forward_sum(own, h, SERIES).alias(f"future_return_{h}") for h in HORIZONS] + [(forward_sum(own, h, SERIES) - forward_sum(market, h, SERIES)).alias(f"future_abret_{h}") for h in HORIZONS]
+    out = [forward_sum(own, h, by_day()).alias(f"future_return_{h}") for h in HORIZONS] + [(forward_sum(own, h, by_day()) - forward_sum(market, h, by_day())).alias(f"future_abret_{h}") for h in HORIZONS]
     ahead = rows.select("ticker", "date", *out)
     s = F.col("sentiment_score")
     news = panel(spark, sf_dir).select("ticker", "date", F.when(s.isNull(), "NO_NEWS").when(s > 0.1, "POS").when(s < -0.1, "NEG").otherwise("NEU").alias("sentiment_group"))
@@ -104,7 +104,7 @@ def cross_correlations(spark: SparkSession, sf_dir: str) -> DataFrame:
     names = sorted({c for p in PAIRS for c in p})
     rows = panel(spark, sf_dir).select("ticker", "date", *[F.col(c).cast("double").alias(c) for c in names])
     lags = range(-LAGS, LAGS + 1)
-    cells = [F.struct(F.lit(f"{x}->{y}").alias("pair"), F.lit(k).alias("lag"), (shifted(x, k, SERIES) if k else F.col(x)).alias("x"), F.col(y).alias("y")) for x, y in PAIRS for k in lags]
+    cells = [F.struct(F.lit(f"{x}->{y}").alias("pair"), F.lit(k).alias("lag"), (shifted(x, k, by_day()) if k else F.col(x)).alias("x"), F.col(y).alias("y")) for x, y in PAIRS for k in lags]
     wide = rows.select("ticker", F.array(*cells).alias("c"))
     long = wide.select("ticker", F.explode("c").alias("c")).select("ticker", "c.*").where("x is not null and y is not null")
     return long.groupBy("ticker", "pair", "lag").agg(safe_corr("x", "y", 5).alias("correlation"), F.count("*").alias("n")).where("correlation is not null")
@@ -125,7 +125,7 @@ def ord_03_top_correlations(spark: SparkSession, sf_dir: str) -> DataFrame:
 def confusion(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Predicted (score above 0) against actual (forward return above 0) at lags 0 to 2, by ticker and pooled."""
     rows = panel(spark, sf_dir).where("forward_return_1d is not null").select("ticker", "date", "sentiment_score", (F.col("forward_return_1d") > 0).cast("int").alias("y"))
-    lagged = reduce(DataFrame.unionByName, [rows.withColumn("s", shifted("sentiment_score", k, SERIES) if k else F.col("sentiment_score")).withColumn("lag", F.lit(k)) for k in range(3)])
+    lagged = reduce(DataFrame.unionByName, [rows.withColumn("s", shifted("sentiment_score", k, by_day()) if k else F.col("sentiment_score")).withColumn("lag", F.lit(k)) for k in range(3)])
     marked = lagged.where("s is not null").withColumn("p", (F.col("s") > 0).cast("int"))
     cell = lambda p, y: F.sum(F.when((F.col("p") == p) & (F.col("y") == y), 1).otherwise(0))
     by = marked.groupingSets([["ticker", "lag"], ["lag"]], "ticker", "lag").agg(cell(1, 1).alias("tp"), cell(1, 0).alias("fp"), cell(0, 1).alias("fn"), cell(0, 0).alias("tn"))
@@ -152,12 +152,12 @@ def sta_08_line(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def win_14_pattern_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = _features(spark, sf_dir).select("ticker", "date", "log_return", "volume_growth", F.col("clv").alias("sentiment_score"))
-    out = encoded_windows(rows, 5, SERIES, ["log_return", "volume_growth"], ["sentiment_score"])
+    out = encoded_windows(rows, 5, by_day(), ["log_return", "volume_growth"], ["sentiment_score"])
     return out.where("vector is not null").select("ticker", "date", F.posexplode("vector").alias("k", "value")).select("ticker", "date", "k", F.round(F.col("value") + base.OFF_TIE, 5).alias("value"))
 
 
 def win_15_paths(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = _features(spark, sf_dir).select("ticker", "date", running_path("log_return", 5, SERIES).alias("path")).where("path is not null")
+    rows = _features(spark, sf_dir).select("ticker", "date", running_path("log_return", 5, by_day()).alias("path")).where("path is not null")
     return rows.select("ticker", "date", F.posexplode("path").alias("k", "value")).select("ticker", "date", "k", r6("value").alias("value"))
 
 

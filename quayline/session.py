@@ -6,6 +6,7 @@ import os
 import tempfile
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 
 def session(app: str = "quayline", cpus: str | None = None, **conf: str) -> SparkSession:
@@ -45,6 +46,16 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def columns(df: DataFrame, *names: str) -> DataFrame:
+    """Just the named columns, by exact name, whatever other columns clash with them in case or are there twice."""
+    have = df.columns
+    missing = [n for n in names if n not in have]
+    if missing:
+        raise ValueError(f"columns are missing: {missing}")
+    places = [have.index(n) for n in names]
+    return df.toDF(*[f"_{k}" for k in range(len(have))]).select(*[F.col(f"_{k}").alias(n) for k, n in zip(places, names)])
+
+
 def parallelism(spark: SparkSession) -> int:
     """Shuffle partitions the cluster was configured for."""
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
