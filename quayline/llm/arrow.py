@@ -7,7 +7,8 @@ from collections.abc import Iterable, Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+
+from ..session import columns
 
 #: A worker's memo of word hashes is emptied at this size; it only saves time.
 MEMO = 1_000_000
@@ -59,6 +60,4 @@ def batches(it: Iterator[pa.RecordBatch], rows: int = 2000) -> Iterator[pa.Recor
             yield batch.slice(k, rows)
 
 
-def narrow(df: DataFrame, *names: str) -> DataFrame:
-    """Only the named columns, whatever else (clashing in case or repeated) the table has."""
-    return df.select(*[f"`{n}`" for n in names])
+narrow = columns

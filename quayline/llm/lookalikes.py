@@ -18,6 +18,7 @@ import unicodedata
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..session import columns
 from . import screen
 
 _CUT = "\x01"
@@ -46,7 +47,7 @@ def _compositions(spark: SparkSession) -> DataFrame:
 def unify(records: DataFrame, keys: list[str], text: str = "text") -> DataFrame:
     """(keys, raw, form) of each distinct record: fingerprint of the text as stored, and its screen form."""
     spark = records.sparkSession
-    rows = records.select(*keys, text).where(F.col(text).isNotNull()).repartition(*keys).dropDuplicates([*keys, text])
+    rows = columns(records, *keys, text).where(F.col(text).isNotNull()).repartition(*keys).dropDuplicates([*keys, text])
     rows = rows.withColumn("raw", F.md5(text))
     by = [*keys, "raw"]
     clean = F.regexp_replace(F.translate(F.regexp_replace(F.col(text), "\r\n", "\n"), _CUT, ""), _pattern(), f"{_CUT}$0{_CUT}")

@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..session import parallelism
+from ..session import columns, parallelism
 
 #: Length of a bucket; at least twice the tolerance.
 BUCKET_US = 6 * 3600 * 1_000_000
@@ -50,6 +50,7 @@ def nearest(queries: DataFrame, targets: DataFrame, tolerance_us: int, bucket_us
     """queries (id, entity, us), targets (entity, us), times in microseconds -> (id, entity, gap, bar)."""
     spark = queries.sparkSession
     bucket_us = max(bucket_us, 2 * tolerance_us)
+    queries, targets = columns(queries, "id", "entity", "us"), columns(targets, "entity", "us")
     targets = targets.where("entity is not null and us is not null")
     queries = queries.where("id is not null and entity is not null and us is not null").distinct()
     groups = max(parallelism(spark), math.ceil(targets.count() / GROUP_ROWS))

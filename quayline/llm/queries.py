@@ -71,6 +71,15 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in (p1_found, p2_found, p3_found, p5_found, p6_found, p6_clean, p8_ids, p9_found, p10_found, p10_levels)}
 
 
-def oracle_sql() -> dict[str, str]:
-    return {}
+SQL = {
+    "p3_found": """with linked as (select distinct article_id, ticker from article_ticker_sentiment),
+times as (select article_id, min(epoch_us(published_at)) as us from articles where published_at is not null group by article_id),
+bars as (select distinct ticker, epoch_us(ts) as bar_us from intraday_prices),
+near as (select l.article_id, l.ticker, b.bar_us, row_number() over (partition by l.article_id, l.ticker order by abs(b.bar_us - t.us), b.bar_us) as k
+  from linked l join times t using (article_id) join bars b on b.ticker = l.ticker and b.bar_us between t.us - 600000000 and t.us + 600000000)
+select article_id, ticker, bar_us from near where k = 1""",
+}
+
 
+def oracle_sql() -> dict[str, str]:
+    return dict(SQL)

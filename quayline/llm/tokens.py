@@ -156,5 +156,5 @@ def _encode(it: Iterator[pa.RecordBatch], path: str) -> Iterator[pa.RecordBatch]
 
 def encode_texts(records: DataFrame, key: str, text: str, tokenizer: str = "byte_bpe_50k", folder: str = TOKENIZERS) -> DataFrame:
     """(key, ids) of every row."""
-    kind = records.select(f"`{key}`").schema[0].dataType.simpleString()
+    kind = narrow(records, key).schema[0].dataType.simpleString()
     return narrow(records, key, text).mapInArrow(functools.partial(_encode, path=f"{folder}/{tokenizer}.json"), f"id {kind}, ids array<int>").withColumnRenamed("id", key)
