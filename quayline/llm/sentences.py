@@ -189,27 +189,29 @@ def lines(shown: str) -> Iterator[tuple[int, str]]:
 
 
 def count(text: str, into: Counter) -> None:
-    """Adds the n-gram counts of a text.
+    """Adds the n-grams of a text, each once, so that a text that repeats itself counts no more than others.
 
     end: words before the final mark of a line; mid: words before an undecided slot or one that is
     none; first: words that begin a line; inner: words with a capital that follow no mark.
     """
+    seen: set[tuple[str, str]] = set()
     for _, line in lines(View(text).shown):
         body = line.strip()
         tail = body.rstrip("".join(_CLOSERS) + " ")
         if tail.endswith((".", "…")) and (w := _WORD_BEFORE.search(tail.rstrip(".…")[-40:])):
-            into["end", _plain(w.group())] += 1
+            seen.add(("end", _plain(w.group())))
         for slot in slots(line):
-            if slot.kind in ("dot", "dots") and slot.left and (slot.sure is None or not slot.sure):
-                into["mid", slot.left] += 1
+            if slot.kind in ("dot", "dots") and slot.left and not slot.sure:
+                seen.add(("mid", slot.left))
         w = _WORD_AFTER.match(body[:40])
         if w:
-            into["first", _plain(w.group())] += 1
+            seen.add(("first", _plain(w.group())))
         for m in _UPPER_WORD.finditer(line):
             word = m.group()
             before = line[max(0, m.start() - 2) : m.start()].rstrip()
             if word[0].isupper() and m.start() and before and before[-1] not in ".!?…。:\"“「(":
-                into["inner", _plain(word)] += 1
+                seen.add(("inner", _plain(word)))
+    into.update(seen)
 
 
 class Model:
@@ -262,7 +264,8 @@ class Model:
             return 40.0 if slot.sure else -40.0
         if slot.kind == "shout":
             return 4.0 + 0.5 * self.right(slot.right)
-        return self.left(slot.left) + 0.7 * self.right(slot.right) - (0.5 if slot.kind == "dots" else 0.0)
+        # an ellipsis inside a sentence is followed by a small letter, which is settled already
+        return self.left(slot.left) + 0.7 * self.right(slot.right) + (1.5 if slot.kind == "dots" else 0.0)
 
     def posteriors(self, found: list[Slot]) -> np.ndarray:
         """Forward-backward over two states, boundary and none."""
