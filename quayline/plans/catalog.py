@@ -6,9 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import intraday, market, panel, reports, research, series, tables, texts
+from . import intraday, market, panel, pipeline, reports, research, series, tables, texts
 
-PARTS = (panel, reports, series, intraday, texts, research, tables, market)
+PARTS = (panel, reports, series, intraday, texts, research, tables, pipeline, market)
 
 
 def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:

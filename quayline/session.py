@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -27,6 +28,12 @@ def session(app: str = "quayline", cpus: str | None = None, **conf: str) -> Spar
     return builder.getOrCreate()
 
 
+def shared_folder(spark: SparkSession) -> str:
+    """A new folder that all executors see: under the checkpoint folder of the cluster, our own only where none is named."""
+    named = spark.sparkContext.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None)
+    return f"{(named or tempfile.mkdtemp(prefix='quayline-shared-')).rstrip('/')}/quayline-{uuid.uuid4().hex}"
+
+
 def checkpoint(df: DataFrame) -> DataFrame:
     """Cut the lineage through reliable storage.
 
