@@ -8,7 +8,8 @@ together assign the flag.
 
 A series is cut into blocks of time; each block gets the last and first valid values of its
 neighbours, as many as the longest required run. What is decided about a row therefore does not
-depend on where blocks end, and no task holds a whole series.
+depend on where blocks end, and no task holds a whole series. The rows are shuffled once, by block;
+statistics and blocks are both made from that one exchange.
 
 Rows with a null key are dropped, null values have no flag and are passed over, of repeated keys the
 latest row counts. Series too short to have a usual move have only out-of-range values; no rows give
@@ -26,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..session import checkpoint, columns
+from ..session import columns
 from .rolling import latest
 
 
@@ -180,7 +181,6 @@ def flag_series(rows: DataFrame, updated: str, close: str, volume: str | None, b
     kept = latest(blocks, [*series, "block", "ts"], updated, ["close", "volume", "low", "high"])
     fits = (F.col("close") > 0) & F.coalesce(F.col("close") <= F.col("high") + CLEAR * F.abs("high"), F.lit(True)) & F.coalesce(F.col("close") >= F.col("low") - CLEAR * F.abs("low"), F.lit(True))
     kept = kept.withColumn("c", F.when(fits, F.col("close"))).withColumn("v", F.when(F.col("volume") >= 0, F.col("volume").cast("double")))
-    kept = checkpoint(kept)
     past = Window.partitionBy(*series, "block").orderBy("ts").rowsBetween(Window.unboundedPreceding, -1)
     moved = kept.withColumn("c0", F.last("c", True).over(past)).withColumn("v0", F.last("v", True).over(past))
     move = F.abs(F.ln(F.col("c") / F.col("c0")))
