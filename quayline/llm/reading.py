@@ -7,7 +7,8 @@ so what is sent to the tasks has a fixed size (``BUCKETS`` numbers) whatever the
 fitted on at most ``LABELLED`` labelled documents, chosen by the hash of their id. Counting and
 scoring cover every document; nothing but counts and labelled documents is shuffled.
 
-Documents not written mainly in Latin letters, and null or wordless texts, have no level and no row;
+Words are blank-separated, without what is no letter or digit in them. Documents not written mainly
+in Latin letters, and null or wordless texts, have no level and no row;
 repeated rows of one id give one row (the larger level, if their texts differ). Ratings of one document are averaged;
 labels without document and nulls are passed over. Without labels of at least two levels there is
 nothing to fit and no row.
@@ -16,17 +17,18 @@ nothing to fit and no row.
 from __future__ import annotations
 
 import functools
-import re
+from array import array
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import screen
-from .arrow import WordHashes, batches, narrow
+from .arrow import MEMO, batches, narrow
 
 BUCKETS = 1 << 18
 LABELLED = 6000
@@ -40,17 +42,51 @@ SMOOTH = 2.0
 # Connectives of Vietnamese and English.
 CONNECTIVES = """và hoặc nhưng vì nên khi nếu dù song tuy do bởi để nhằm mà rằng thì đồng thời trong sau trước khiến bất chấp
 and or but because so when if although though while whereas whereby since unless until that which hence thus insofar moreover however""".split()
-_HASHES = WordHashes()
-_LINKS = {w for w in CONNECTIVES}
-_MARKS = re.compile(r"[.!?…。]+")
-_CLAUSES = re.compile(r"[,;:(]")
-#: Letters of scripts other than Latin, with the marks and signs among them.
-_OTHER = re.compile("[\u0370-\u1dff\u2c80-\ufaff\U00010000-\U0003ffff]+")
+_LINKS = frozenset(CONNECTIVES)
+_CLAUSES = ",;:("
+_ENDS = ".!?…。"
 FEATURES = ("grade", "graded_high", "graded_low", "rarity", "rare", "diversity", "connectives", "clauses", "sentence_length", "word_length", "length")
 #: How many of them, at the front, come from the graded vocabulary.
 GRADED = 3
 
 
+class Words(dict):
+    """Blank-separated token -> its place in the lists of what is known of it.
+
+    A token's word is what is left of its letters and digits, its bucket the hash of that; tokens
+    without any have bucket -1. The memo only saves time and is emptied at a fixed size.
+    """
+
+    def __init__(self) -> None:
+        super().__init__()
+        self.reset()
+
+    def reset(self) -> None:
+        self.clear()
+        self.bucket, self.link, self.chars, self.other = array("i"), array("b"), array("h"), array("h")
+
+    def __missing__(self, token: str) -> int:
+        word = "".join(screen._words().findall(token))
+        place = self[token] = len(self.bucket)
+        self.bucket.append(xxhash.xxh64_intdigest(word) >> 46 if word else -1)
+        self.link.append(word in _LINKS)
+        self.chars.append(min(len(word), 30_000))
+        self.other.append(min(sum(map(_is_other, word)), 30_000))
+        return place
+
+    def known(self) -> tuple[np.ndarray, ...]:
+        return tuple(np.frombuffer(x, t) for x, t in ((self.bucket, np.int32), (self.link, np.int8), (self.chars, np.int16), (self.other, np.int16)))
+
+
+def _is_other(ch: str) -> bool:
+    """A letter of a script other than Latin."""
+    code = ord(ch)
+    return code > 0x24F and not (0x1E00 <= code <= 0x1EFF or 0x300 <= code <= 0x36F) and ch.isalpha()
+
+
+_WORDS = Words()
+
+
 @dataclass
 class Text:
     """What the features need of a text: word buckets and the shape of its sentences."""
@@ -60,31 +96,25 @@ class Text:
     shape: tuple[float, float, float, float]
 
 
-def read(text: str | None) -> tuple[str, list[str], int] | None:
-    """Screen form, words and their length of a text of which more than half is in Latin letters."""
+def parse(text: str | None) -> Text | None:
+    """None for a text without words or one that is not mainly in Latin letters."""
     if not text:
         return None
+    if len(_WORDS) > MEMO:
+        _WORDS.reset()
     shown = screen.fold(text)
-    found = screen._words().findall(shown.lower())
-    chars = sum(map(len, found))
-    if not chars or (not shown.isascii() and 2 * sum(map(len, _OTHER.findall(shown))) >= chars):
-        return None
-    return shown, found, chars
-
-
-def bucket(found: list[str]) -> np.ndarray:
-    return (_HASHES.of(found) >> np.uint64(46)).astype(np.int32)
-
-
-def parse(text: str | None) -> Text | None:
-    known = read(text)
-    if known is None:
+    tokens = shown.lower().split()
+    places = np.fromiter(map(_WORDS.__getitem__, tokens), np.int64, len(tokens))
+    buckets, links, chars, other = (x[places] for x in _WORDS.known())
+    total = int(chars.sum(dtype=np.int64))
+    if not total or 2 * int(other.sum(dtype=np.int64)) >= total:
         return None
-    shown, found, chars = known
-    n = len(found)
-    sentences = max(1, len(_MARKS.findall(shown)))
-    links = sum(map(_LINKS.__contains__, found))
-    return Text(bucket(found), len(set(found)), (links / n, (len(_CLAUSES.findall(shown)) + links) / sentences, float(np.log1p(n / sentences)), chars / n))
+    buckets = buckets[buckets >= 0]
+    n = len(buckets)
+    link = int(links.sum(dtype=np.int64))
+    sentences = max(1, sum(map(shown.count, _ENDS)))
+    clauses = sum(map(shown.count, _CLAUSES))
+    return Text(buckets, len(set(tokens)), (link / n, (clauses + link) / sentences, float(np.log1p(n / sentences)), total / n))
 
 
 class Lexicon:
@@ -162,7 +192,7 @@ class Ordinal:
 def _tally(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     counts = np.zeros(BUCKETS, np.int64)
     for batch in batches(it, 500):
-        parsed = [bucket(known[1]) for known in map(read, batch.column(0).to_pylist()) if known]
+        parsed = [t.buckets for t in map(parse, batch.column(0).to_pylist()) if t]
         if parsed:
             counts += np.bincount(np.concatenate(parsed), minlength=BUCKETS)
     used = np.flatnonzero(counts)
