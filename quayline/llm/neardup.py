@@ -2,9 +2,11 @@
 
 Texts become sets of word shingles. Exact copies (equal sets) form classes, and only one
 representative of each takes part in the search, so a hot group of copies costs one row. Banded
-MinHash keys give candidate pairs; for each, further MinHash values are compared chunk by chunk and
+MinHash keys give candidate pairs; for each, further MinHash values are compared step by step and
 the pair is dropped once the posterior probability (uniform prior) that its similarity reaches the
-threshold falls below ``DROP``. What is left is verified exactly on the shingle sets.
+threshold falls below ``Settings.drop``. The first steps compare one bit of each value, four words of
+64 values, inside the engine; the pairs that are left compare whole values, chunk by chunk. What is
+left then is verified exactly on the shingle sets.
 
 Null and empty texts and texts with fewer words than a shingle have no shingles and belong to no
 pair. Rows that repeat an id are one record (the texts of repeats are taken to be equal; of unequal
@@ -70,41 +72,56 @@ def minhash(own: np.ndarray, n: int) -> np.ndarray:
     return out
 
 
-def needed(s: Settings) -> list[int]:
-    """Fewest equal MinHash values after 1, 2, ... chunks that keep a pair.
+#: Bits of MinHash values that a class carries: so many words of 64.
+BIT_WORDS = 4
+
+
+def fewest(n: int, p: float, drop: float) -> int:
+    """Least number of agreements among ``n`` at which P(rate >= p) is ``drop`` or more.
 
-    With a uniform prior, P(similarity >= t | m of n equal) is P(Binomial(n + 1, t) <= m).
+    With a uniform prior of the rate, P(rate >= p | m of n agree) is P(Binomial(n + 1, p) <= m).
     """
-    out = []
-    for n in range(s.chunk, s.compared + 1, s.chunk):
-        logs = np.cumsum([0.0] + [np.log((n + 1 - k) / (k + 1)) for k in range(n + 1)])
-        pmf = np.exp(logs + np.arange(n + 2) * np.log(s.threshold) + np.arange(n + 1, -1, -1) * np.log1p(-s.threshold))
-        out.append(int(np.argmax(np.cumsum(pmf) >= s.drop)))
-    return out
+    logs = np.cumsum([0.0] + [np.log((n + 1 - k) / (k + 1)) for k in range(n + 1)])
+    pmf = np.exp(logs + np.arange(n + 2) * np.log(p) + np.arange(n + 1, -1, -1) * np.log1p(-p))
+    return int(np.argmax(np.cumsum(pmf) >= drop))
+
+
+def needed(s: Settings) -> list[int]:
+    """Fewest equal MinHash values after 1, 2, ... chunks that keep a pair."""
+    return [fewest(n, s.threshold, s.drop) for n in range(s.chunk, s.compared + 1, s.chunk)]
+
+
+def close_bits(s: Settings) -> str:
+    """Condition on the bits of two classes, word after word; bits of a pair agree at a rate of (1 + similarity) / 2."""
+    tests = []
+    for k in range(1, BIT_WORDS + 1):
+        differ = " + ".join(f"bit_count(a{j} ^ b{j})" for j in range(k))
+        tests.append(f"{differ} <= {64 * k - fewest(64 * k, (1 + s.threshold) / 2, s.drop)}")
+    return " and ".join(tests)
 
 
 def _sketch(it: Iterator[pa.RecordBatch], s: Settings) -> Iterator[pa.RecordBatch]:
-    n = s.rows * s.bands
+    n = max(s.rows * s.bands, s.compared + 64 * BIT_WORDS)
     salt = np.arange(s.bands, dtype=np.uint64) * np.uint64(0xD1B54A32D192ED03)
     mult = _factors(2 * n)[0][n : n + s.rows]
     for batch in batches(it, 1000):
-        ids, classes, sizes, values, keys = [], [], [], [], []
+        ids, classes, bits, values, keys = [], [], [], [], []
         for key, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
             own = shingle_set(text, s.words)
             if not len(own):
                 continue
             low = minhash(own, n)
-            banded = low.reshape(s.bands, s.rows).astype(np.uint64)
+            banded = low[: s.rows * s.bands].reshape(s.bands, s.rows).astype(np.uint64)
             mixed = (banded * mult).sum(axis=1, dtype=np.uint64) + salt
             mixed ^= mixed >> np.uint64(31)
             keys.append((mixed * np.uint64(0x9E3779B97F4A7C15)).view(np.int64))
             ids.append(key)
             classes.append(np.int64(np.uint64(xxhash.xxh64_intdigest(own.tobytes())).view(np.int64)))
-            sizes.append(len(own))
+            bits.append(np.packbits(low[s.compared : s.compared + 64 * BIT_WORDS] & 1).view(np.int64))
             values.append(low[: s.compared].tobytes())
         yield pa.RecordBatch.from_arrays(
-            [pa.array(ids, pa.string()), pa.array(classes, pa.int64()), pa.array(sizes, pa.int32()), pa.array(values, pa.binary()), lists(np.concatenate(keys) if keys else np.empty(0, np.int64), [s.bands] * len(keys))],
-            ["id", "class_id", "size", "minhash", "bands"],
+            [pa.array(ids, pa.string()), pa.array(classes, pa.int64()), *[pa.array([b[j] for b in bits], pa.int64()) for j in range(BIT_WORDS)], pa.array(values, pa.binary()), lists(np.concatenate(keys) if keys else np.empty(0, np.int64), [s.bands] * len(keys))],
+            ["id", "class_id", *[f"bits{j}" for j in range(BIT_WORDS)], "minhash", "bands"],
         )
 
 
@@ -143,7 +160,7 @@ def near_duplicates(records: DataFrame, key: str, text: str, settings: Settings
     s = settings
     rows = narrow(records, key, text).toDF("id", "text").where("id is not null and text is not null")
     sketch = functools.partial(_sketch, s=s)
-    sketched = checkpoint(rows.withColumn("id", F.col("id").cast("string")).mapInArrow(sketch, "id string, class_id bigint, size int, minhash binary, bands array<bigint>"))
+    sketched = checkpoint(rows.withColumn("id", F.col("id").cast("string")).mapInArrow(sketch, f"id string, class_id bigint, {', '.join(f'bits{j} bigint' for j in range(BIT_WORDS))}, minhash binary, bands array<bigint>"))
     members = sketched.groupBy("id").agg(F.min("class_id").alias("class_id"))
     classes = sketched.dropDuplicates(["class_id"])
     banded = classes.select("class_id", F.explode("bands").alias("band"))
@@ -154,8 +171,12 @@ def near_duplicates(records: DataFrame, key: str, text: str, settings: Settings
         .select(F.col("a.class_id").alias("class_a"), F.col("b.class_id").alias("class_b"))
         .distinct()
     )
+    words = [f"bits{j}" for j in range(BIT_WORDS)]
+    bits = classes.select("class_id", *words)
+    named = lambda side: bits.toDF(f"class_{side}", *[f"{side}{j}" for j in range(BIT_WORDS)])
+    close = candidates.join(named("a"), "class_a").join(named("b"), "class_b").where(close_bits(s)).select("class_a", "class_b")
     values = classes.select("class_id", "minhash")
-    paired = candidates.join(values.toDF("class_a", "minhash_a"), "class_a").join(values.toDF("class_b", "minhash_b"), "class_b")
+    paired = close.join(values.toDF("class_a", "minhash_a"), "class_a").join(values.toDF("class_b", "minhash_b"), "class_b")
     likely = checkpoint(paired.select("class_a", "class_b", "minhash_a", "minhash_b").mapInArrow(functools.partial(_prune, s=s), "class_a bigint, class_b bigint"))
     # the shingle sets are made anew, only for classes of likely pairs
     wanted = likely.select(F.explode(F.array("class_a", "class_b")).alias("class_id")).distinct()

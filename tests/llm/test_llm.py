@@ -166,6 +166,15 @@ def test_near_duplicates_like_brute_force(spark):
     assert neardup.expand(*neardup.near_duplicates(df.limit(0), "id", "text")).count() == 0
 
 
+def test_strict_near_duplicates(spark):
+    rng = random.Random(8)
+    base = texts(rng, 20)
+    near = [[*w[:60], "mới", *w[61:]] for w in base]
+    rows = [(f"a{k:02}", " ".join(w)) for k, w in enumerate(base)] + [(f"b{k:02}", " ".join(w)) for k, w in enumerate(near)]
+    got = found(neardup.expand(*neardup.near_duplicates(spark.createDataFrame(rows, "id string, text string"), "id", "text", neardup.STRICT)))
+    assert got == {(f"a{k:02}", f"b{k:02}") for k in range(20)}
+
+
 def rowsafe(words):
     return " ".join(words).upper().replace(" ", "  ")
 
