@@ -63,7 +63,7 @@ def furniture_lines(records: DataFrame, key: str, source: str, text: str, least:
     lines = checkpoint(rows.where("text is not null").mapInArrow(_lines, "id string, source string, line_no int, line bigint").distinct())
     sizes = rows.select("source", "id").distinct().groupBy("source").agg(F.count("*").alias("documents"))
     counts = lines.select("source", "line", "id").distinct().groupBy("source", "line").agg(F.count("*").alias("n")).where(F.col("n") >= least)
-    frequent = counts.join(sizes, "source").where(F.col("n") >= F.col("documents") * share).select("source", "line")
+    frequent = counts.join(sizes, "source").where(F.col("n") >= F.col("documents") * share - 1e-9).select("source", "line")
     return lines.join(frequent, ["source", "line"]).select("id", "line_no").distinct()
 
 
