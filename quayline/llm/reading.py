@@ -5,7 +5,8 @@ the graded vocabulary (the mean level of the labelled documents that use a word)
 clause-depth proxy and lengths, fitted to the labelled documents. Word counts are kept by hash bucket,
 so what is sent to the tasks has a fixed size (``BUCKETS`` numbers) whatever the corpus; the model is
 fitted on at most ``LABELLED`` labelled documents, chosen by the hash of their id. Counting and
-scoring cover every document; nothing but counts and labelled documents is shuffled.
+scoring cover every document. Texts are read once; what is needed of them, three bytes a word, is
+checkpointed, and nothing but counts, labelled documents and levels is shuffled.
 
 Words are blank-separated, without what is no letter or digit in them. Documents not written mainly
 in Latin letters, and null or wordless texts, have no level and no row;
@@ -27,6 +28,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..session import checkpoint
 from . import screen
 from .arrow import MEMO, batches, narrow
 
@@ -189,12 +191,40 @@ class Ordinal:
         return 1 + ((z @ self.theta[:p])[:, None] > self.theta[None, p:]).sum(axis=1)
 
 
+def packed(buckets: np.ndarray) -> bytes:
+    """Three bytes a bucket, in order."""
+    return buckets.astype("<i4").view(np.uint8).reshape(-1, 4)[:, :3].tobytes()
+
+
+def unpacked(data: bytes) -> np.ndarray:
+    out = np.zeros((len(data) // 3, 4), np.uint8)
+    out[:, :3] = np.frombuffer(data, np.uint8).reshape(-1, 3)
+    return out.view("<i4").ravel()
+
+
+SHAPE = ("links", "clauses", "sentence", "word")
+PARSED = f"doc_id bigint, buckets binary, kinds int, {', '.join(f'{n} double' for n in SHAPE)}"
+
+
+def _parse(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches(it, 500):
+        found = [(key, t) for key, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()) if (t := parse(text)) is not None]
+        cols = [pa.array([k for k, _ in found], pa.int64()), pa.array([packed(t.buckets) for _, t in found], pa.binary()), pa.array([t.kinds for _, t in found], pa.int32())]
+        cols += [pa.array([t.shape[j] for _, t in found], pa.float64()) for j in range(len(SHAPE))]
+        yield pa.RecordBatch.from_arrays(cols, ["doc_id", "buckets", "kinds", *SHAPE])
+
+
+def _texts(batch: pa.RecordBatch) -> list[Text]:
+    """The texts of rows of ``PARSED``, without their ids."""
+    data, kinds, *shape = (c.to_pylist() for c in batch.columns)
+    return [Text(unpacked(d), k, s) for d, k, s in zip(data, kinds, zip(*shape))]
+
+
 def _tally(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     counts = np.zeros(BUCKETS, np.int64)
     for batch in batches(it, 500):
-        parsed = [t.buckets for t in map(parse, batch.column(0).to_pylist()) if t]
-        if parsed:
-            counts += np.bincount(np.concatenate(parsed), minlength=BUCKETS)
+        if batch.num_rows:
+            counts += np.bincount(unpacked(b"".join(batch.column(0).to_pylist())), minlength=BUCKETS)
     used = np.flatnonzero(counts)
     yield pa.RecordBatch.from_arrays([pa.array(used.astype(np.int32)), pa.array(counts[used])], ["bucket", "n"])
 
@@ -202,37 +232,34 @@ def _tally(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def _grade(it: Iterator[pa.RecordBatch], sent) -> Iterator[pa.RecordBatch]:
     lexicon, model = sent.value
     for batch in batches(it, 500):
-        ids, texts = [], []
-        for key, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-            if (t := parse(text)) is not None:
-                ids.append(key)
-                texts.append(t)
+        texts = _texts(batch.drop_columns(["doc_id"])) if batch.num_rows else []
         levels = model.levels(lexicon.features(texts)) if texts else np.empty(0)
-        yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(levels.astype(np.int32))], ["doc_id", "level"])
+        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(levels.astype(np.int32))], ["doc_id", "level"])
 
 
-def fit(documents: DataFrame, labels: DataFrame) -> tuple[Lexicon, Ordinal] | None:
+def fit(parsed: DataFrame, labels: DataFrame) -> tuple[Lexicon, Ordinal] | None:
     """The lexicon of all documents and the model of the labelled ones."""
     counts = np.zeros(BUCKETS, np.int64)
-    for r in narrow(documents, "text").where("text <> ''").mapInArrow(_tally, "bucket int, n bigint").groupBy("bucket").agg(F.sum("n").alias("n")).collect():
+    for r in parsed.select("buckets").mapInArrow(_tally, "bucket int, n bigint").groupBy("bucket").agg(F.sum("n").alias("n")).collect():
         counts[r.bucket] = r.n
     lexicon = Lexicon(counts)
     rated = narrow(labels, "doc_id", "reading_level").dropna().groupBy("doc_id").agg(F.avg("reading_level").alias("level"))
     rated = rated.orderBy(F.xxhash64("doc_id")).limit(LABELLED)
-    known = narrow(documents, "doc_id", "text").where("text <> ''").join(F.broadcast(rated), "doc_id").dropDuplicates(["doc_id"])
-    parsed = [(t, r.level) for r in known.select("text", "level").toLocalIterator() if (t := parse(r.text)) is not None]
-    if len({round(level) for _, level in parsed}) < 2:
+    known = parsed.join(F.broadcast(rated), "doc_id").dropDuplicates(["doc_id"])
+    rows = [(Text(unpacked(r.buckets), r.kinds, tuple(r[n] for n in SHAPE)), float(r.level)) for r in known.toLocalIterator()]
+    if len({round(level) for _, level in rows}) < 2:
         return None
-    texts, levels = [t for t, _ in parsed], np.array([float(level) for _, level in parsed])
+    texts, levels = [t for t, _ in rows], np.array([level for _, level in rows])
     lexicon.grade(texts, levels)
     return lexicon, Ordinal(lexicon.features(texts, levels), np.round(levels + 1e-9))
 
 
 def reading_levels(documents: DataFrame, labels: DataFrame) -> DataFrame:
     """(doc_id, level) of every document in Latin script."""
-    fitted = fit(documents, labels)
+    rows = narrow(documents, "doc_id", "text").where("doc_id is not null and text <> ''")
+    parsed = checkpoint(rows.mapInArrow(_parse, PARSED))
+    fitted = fit(parsed, labels)
     if fitted is None:
         return documents.sparkSession.createDataFrame([], "doc_id bigint, level int")
     sent = documents.sparkSession.sparkContext.broadcast(fitted)
-    rows = narrow(documents, "doc_id", "text").where("doc_id is not null and text <> ''")
-    return rows.mapInArrow(functools.partial(_grade, sent=sent), "doc_id bigint, level int").groupBy("doc_id").agg(F.max("level").alias("level"))
+    return parsed.mapInArrow(functools.partial(_grade, sent=sent), "doc_id bigint, level int").groupBy("doc_id").agg(F.max("level").alias("level"))
