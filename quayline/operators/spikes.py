@@ -24,7 +24,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..session import columns
@@ -170,13 +170,14 @@ def _flag(it: Iterator[pa.RecordBatch], close: str, volume: str | None) -> Itera
             yield pa.RecordBatch.from_arrays([pa.array(measures, pa.string()), pa.array(tickers, pa.string()), pa.array(intervals, pa.string()), pa.array(times, pa.int64())], ["measure", "ticker", "bar_interval", "ts"])
 
 
-def flag_series(rows: DataFrame, updated: str, close: str, volume: str | None, block_us: object) -> DataFrame:
+def flag_series(rows: DataFrame, updated: str, close: str, volume: str | None, block_us: Column, interval: str | None = None) -> DataFrame:
     """(measure, ticker, bar_interval, ts) of flagged values.
 
     rows: ticker, bar_interval, ts (microseconds), close, volume, low, high and the column ``updated``;
-    ``block_us`` is the length of a block as a Column.
+    ``block_us`` is the length of a block. Where all bars are of one ``interval``, rows have no
+    bar_interval: a constant among the keys would hide from the planner how rows are laid out.
     """
-    series = ["ticker", "bar_interval"]
+    series = ["ticker"] if interval else ["ticker", "bar_interval"]
     blocks = rows.withColumn("block", F.floor(F.col("ts") / block_us).cast("int")).repartition(*series, "block")
     kept = latest(blocks, [*series, "block", "ts"], updated, ["close", "volume", "low", "high"])
     fits = (F.col("close") > 0) & F.coalesce(F.col("close") <= F.col("high") + CLEAR * F.abs("high"), F.lit(True)) & F.coalesce(F.col("close") >= F.col("low") - CLEAR * F.abs("low"), F.lit(True))
@@ -203,7 +204,9 @@ def flag_series(rows: DataFrame, updated: str, close: str, volume: str | None, b
         *[F.reverse(F.slice(F.reverse(F.flatten(F.collect_list(f"tail_{n}").over(before))), 1, HALO)).alias(f"{m}_before") for n, m in (("c", "close"), ("v", "volume"))],
         *[F.slice(F.flatten(F.collect_list(f"head_{n}").over(after)), 1, HALO).alias(f"{m}_after") for n, m in (("c", "close"), ("v", "volume"))],
     )
-    ready = whole.select(*series, "block", *names).join(ends, [*series, "block"]).join(stats, series)
+    # sizes of rows with arrays are guessed too low to leave the choice of the join to the planner
+    ready = whole.select(*series, "block", *names).join(ends.hint("merge"), [*series, "block"]).join(stats, series)
+    ready = ready.withColumn("bar_interval", F.lit(interval)) if interval else ready
     return ready.mapInArrow(functools.partial(_flag, close=close, volume=volume), "measure string, ticker string, bar_interval string, ts bigint").distinct()
 
 
@@ -212,11 +215,11 @@ def implausible(prices: DataFrame, intraday: DataFrame) -> DataFrame:
     day = 86_400_000_000
     prices = columns(prices, "ticker", "date", "close", "volume", "low", "high", "updated_at")
     intraday = columns(intraday, "ticker", "ts", "interval", "close", "low", "high", "created_at")
-    daily = prices.dropna(subset=["ticker", "date"]).select("ticker", F.lit("1d").alias("bar_interval"), (F.unix_date("date").cast("long") * day).alias("ts"), "close", "volume", "low", "high", "updated_at")
+    daily = prices.dropna(subset=["ticker", "date"]).select("ticker", (F.unix_date("date").cast("long") * day).alias("ts"), "close", "volume", "low", "high", "updated_at")
     bars = intraday.dropna(subset=["ticker", "ts", "interval"]).select("ticker", F.col("interval").alias("bar_interval"), F.unix_micros("ts").alias("ts"), "close", F.lit(None).cast("bigint").alias("volume"), "low", "high", F.col("created_at").alias("updated_at"))
     minutes = F.when(F.lower("bar_interval").endswith("h"), F.regexp_extract("bar_interval", r"(\d+)", 1).try_cast("long") * 60).otherwise(F.regexp_extract("bar_interval", r"(\d+)", 1).try_cast("long"))
     length = F.coalesce(minutes, F.lit(1)) * (BARS_PER_BLOCK * 60_000_000)
-    a = flag_series(daily, "updated_at", "market_prices.close", "market_prices.volume", F.lit(BARS_PER_BLOCK * day))
+    a = flag_series(daily, "updated_at", "market_prices.close", "market_prices.volume", F.lit(BARS_PER_BLOCK * day), "1d")
     b = flag_series(bars, "updated_at", "intraday_prices.close", None, length)
     stamp = F.timestamp_micros("ts")
     out = lambda df, fmt: df.select("measure", "ticker", "bar_interval", F.date_format(stamp, fmt).alias("at_time"))
