@@ -79,6 +79,15 @@ def _plain(word: str) -> str:
     return word if word.isascii() else unicodedata.normalize("NFC", word)
 
 
+def before(text: str) -> str:
+    """What stands before a mark: a word, # for a number, or a sign such as %."""
+    found = _WORD_BEFORE.search(text[-40:])
+    if not found:
+        return text[-1:].strip()
+    word = found.group()
+    return _plain(word) if any(map(str.isalpha, word)) else "#"
+
+
 def enclosed(line: str) -> list[tuple[int, int]]:
     """Outermost matched pairs of quotes or brackets, as places of opener and closer."""
     stack: list[tuple[str, int]] = []
@@ -159,8 +168,9 @@ def slots(line: str) -> list[Slot]:
         after = rest.lstrip()
         spaced = len(after) < len(rest)
         ch = after[0]
-        w = _WORD_BEFORE.search(line[max(0, start - 40) : start])
-        left = _plain(w.group()) if w else ""
+        if kind == "dot" and not spaced and ch.isdigit() and line[start - 1 : start].isdigit():
+            continue  # within a number or a date
+        left = before(line[max(0, start - 40) : start])
         w = _WORD_AFTER.match(after[:40])
         right = _plain(w.group()) if w else ch
         sure: bool | None = None
@@ -198,18 +208,17 @@ def count(text: str, into: Counter) -> None:
     for _, line in lines(View(text).shown):
         body = line.strip()
         tail = body.rstrip("".join(_CLOSERS) + " ")
-        if tail.endswith((".", "…")) and (w := _WORD_BEFORE.search(tail.rstrip(".…")[-40:])):
-            seen.add(("end", _plain(w.group())))
+        if tail.endswith((".", "…")) and (word := before(tail.rstrip(".…"))):
+            seen.add(("end", word))
         for slot in slots(line):
             if slot.kind in ("dot", "dots") and slot.left and not slot.sure:
                 seen.add(("mid", slot.left))
-        w = _WORD_AFTER.match(body[:40])
-        if w:
+        if w := _WORD_AFTER.match(body[:40]):
             seen.add(("first", _plain(w.group())))
         for m in _UPPER_WORD.finditer(line):
             word = m.group()
-            before = line[max(0, m.start() - 2) : m.start()].rstrip()
-            if word[0].isupper() and m.start() and before and before[-1] not in ".!?…。:\"“「(":
+            ahead = line[max(0, m.start() - 2) : m.start()].rstrip()
+            if word[0].isupper() and m.start() and ahead and ahead[-1] not in ".!?…。:\"“「(":
                 seen.add(("inner", _plain(word)))
     into.update(seen)
 
@@ -230,8 +239,10 @@ class Model:
     @staticmethod
     def shape(word: str) -> float:
         """Probability that a mark after a word of this shape ends a sentence."""
-        if not word:
+        if not word or word == "#":
             return 0.5
+        if not word[0].isalnum():
+            return 0.9
         if len(word) == 1 and word.isalpha():
             return 0.05
         if "." in word:
@@ -330,18 +341,12 @@ def _counts(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def train(texts: DataFrame, share: float = SHARE) -> Model:
     """The model of all texts (one column). What reaches the driver is bounded by ``1 / share`` words a kind."""
     counts = texts.mapInArrow(_counts, "kind string, word string, n bigint").groupBy("kind", "word").agg(F.sum("n").alias("n"))
-    counts = counts.withColumn("total", F.sum("n").over(_by_kind()))
-    kept = counts.where(F.col("n") >= F.col("total") * share).toLocalIterator()
+    totals = counts.groupBy("kind").agg(F.sum("n").alias("total"))
+    kept = counts.join(F.broadcast(totals), "kind").where(F.col("n") >= F.col("total") * share).toLocalIterator()
     rows = {(r.kind, r.word): (r.n, r.total) for r in kept}
     return Model({k: n for k, (n, _) in rows.items()}, {k[0]: t for k, (_, t) in rows.items()})
 
 
-def _by_kind():
-    from pyspark.sql import Window
-
-    return Window.partitionBy("kind")
-
-
 def _find(it: Iterator[pa.RecordBatch], sent) -> Iterator[pa.RecordBatch]:
     model = sent.value
     for batch in batches(it):
