@@ -51,4 +51,34 @@ union all
 select distinct ticker, strftime(date, '%Y-%m-%d') as day, kind from stored
 where abs(stored - correct) > 0.02 * abs(correct) and abs(stored - correct) > 0.0003""",
 }
+# The definition of problem 7 read directly: hard bounds over whole series, without a model.
+SQL["p7_found"] = """with daily as (select * from (
+  select *, row_number() over (partition by ticker, date order by updated_at desc nulls last, close desc nulls last, volume desc nulls last, low desc nulls last, high desc nulls last) as rn
+  from market_prices where ticker is not null and date is not null) where rn = 1),
+bars as (select * from (
+  select *, row_number() over (partition by ticker, "interval", ts order by created_at desc nulls last, close desc nulls last, low desc nulls last, high desc nulls last) as rn
+  from intraday_prices where ticker is not null and "interval" is not null and ts is not null) where rn = 1),
+closes as (
+  select 'market_prices.close' as measure, ticker, '1d' as bar_interval, strftime(date, '%Y-%m-%d') as at_time, epoch_us(date) as us, close as v, low, high, 8 as least_run from daily
+  union all
+  select 'intraday_prices.close', ticker, "interval", strftime(make_timestamp(epoch_us(ts)), '%Y-%m-%d %H:%M:%S'), epoch_us(ts), close, low, high, 12 from bars),
+judged as (select *, v <= 0 or coalesce(v > high + 0.001 * abs(high), false) or coalesce(v < low - 0.001 * abs(low), false) as bad from closes where v is not null),
+volumes as (select 'market_prices.volume' as measure, ticker, '1d' as bar_interval, strftime(date, '%Y-%m-%d') as at_time, epoch_us(date) as us, volume as v, 6 as least_run, volume < 0 as bad,
+  median(volume) over (partition by ticker) as typical from daily where volume is not null),
+fit as (
+  select measure, ticker, bar_interval, at_time, us, v::double as v, least_run, null as typical from judged where not bad
+  union all
+  select measure, ticker, bar_interval, at_time, us, v::double, least_run, typical from volumes where not bad),
+near as (select *, lag(v) over w as a, lead(v) over w as b, coalesce(v = lag(v) over w and (v > 0 or measure <> 'market_prices.volume'), false) as same
+  from fit window w as (partition by measure, ticker, bar_interval order by us)),
+series as (select measure, ticker, bar_interval, 1.4826 * median(abs(ln(v / a))) filter (measure <> 'market_prices.volume' and v <> a) as usual, avg(same::int) filter (a is not null) as repeats from near group by all),
+runs as (select *, sum(1 - same::int) over (partition by measure, ticker, bar_interval order by us) as run from near),
+sized as (select *, count(*) over (partition by measure, ticker, bar_interval, run) as size from runs)
+select measure, ticker, bar_interval, at_time from judged where bad
+union all select measure, ticker, bar_interval, at_time from volumes where bad
+union all
+select r.measure, r.ticker, r.bar_interval, r.at_time from sized r join series s on s.measure = r.measure and s.ticker = r.ticker and s.bar_interval = r.bar_interval
+where (same and size >= least_run and repeats < 0.4)
+  or (r.measure = 'market_prices.volume' and typical > 0 and v > 20 * typical)
+  or (r.measure <> 'market_prices.volume' and (v > a) = (v > b) and v <> a and v <> b and least(abs(ln(v / a)), abs(ln(v / b))) > 7 * usual)"""
 QUERIES = {f.__name__: f for f in (p4_found, p4_totals, p7_found)}
