@@ -48,7 +48,7 @@ def _prepared(features: list[str]) -> list:
     return [VectorAssembler(inputCols=features, outputCol="x"), StandardScaler(inputCol="x", outputCol="scaled", withMean=True)]
 
 
-def classify(train: DataFrame, test: DataFrame, features: list[str], seed: int = 42, trees: int = 40) -> dict[str, DataFrame]:
+def classify(train: DataFrame, test: DataFrame, features: list[str], seed: int = 42, trees: int = 20) -> dict[str, DataFrame]:
     """Predictions (ticker, date, target_up, pred_up, score) of each model; none where a side has one class."""
     both = [{r[0] for r in df.select("target_up").distinct().collect()} for df in (train, test)]
     if any(len(b) < 2 for b in both):

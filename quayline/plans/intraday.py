@@ -77,7 +77,7 @@ def agg_26_buckets(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = timed_scores(spark, sf_dir).groupBy("timing").agg(F.countDistinct("article_id").alias("articles"), F.count("*").alias("n"), r6(F.avg("sentiment_score")).alias("mean_score"), share("positive"), share("neutral"), share("negative"))
     total = rows.agg(F.sum("n").alias("total"))
     order = F.array_position(F.array(*[F.lit(x) for x in ("midnight_only", "pre_open", "intraday", "post_close")]), F.col("timing"))
-    return rows.crossJoin(F.broadcast(total)).withColumn("share_of_all", r6(F.col("n") / F.col("total"))).orderBy(order).drop("total")
+    return rows.withColumn("share_of_all", r6(F.col("n") / total.scalar())).orderBy(order)
 
 
 def agg_27_ticker_buckets(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -279,7 +279,7 @@ def ord_05_page(spark: SparkSession, sf_dir: str, page: int = 2, size: int = 25)
     arts = base.articles(spark, sf_dir, "published_at", "category")
     pages = arts.agg(F.ceil(F.count("*") / size).alias("pages"))
     rows = arts.select("article_id", "category", F.unix_micros("published_at").alias("published_us")).orderBy(F.desc_nulls_last("published_us"), "article_id").offset((page - 1) * size).limit(size)
-    return rows.crossJoin(F.broadcast(pages))
+    return rows.withColumn("pages", pages.scalar())
 
 
 def ord_09_top_signals(spark: SparkSession, sf_dir: str) -> DataFrame:

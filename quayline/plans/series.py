@@ -177,7 +177,7 @@ def win_17_as_of(spark: SparkSession, sf_dir: str, day: str = "2025-06-15") -> D
 def mle_01_chronological_split(spark: SparkSession, sf_dir: str, ratio: float = 0.7, horizon: int = 1) -> DataFrame:
     """Days before the cut less the horizon train, days from the cut on test; the days between are left out."""
     days = panel(spark, sf_dir).select("date").distinct()
-    ranked = days.withColumn("k", F.row_number().over(Window.orderBy("date")) - 1).crossJoin(F.broadcast(days.agg(F.count("*").alias("n"))))
+    ranked = days.withColumn("k", F.row_number().over(Window.orderBy("date")) - 1).withColumn("n", days.agg(F.count("*")).scalar())
     cut = F.floor(F.col("n") * ratio)
     part = F.when(F.col("k") < cut - horizon, "train").when(F.col("k") >= cut, "test").otherwise("embargo")
     return ranked.where("n >= 5").select("date", part.alias("part"))
