@@ -53,9 +53,10 @@ STRICT = Settings(words=5, threshold=0.8, rows=8, bands=40)
 _HASHES = WordHashes()
 
 
+@functools.cache
 def _factors(n: int) -> tuple[np.ndarray, np.ndarray]:
     rng = np.random.default_rng(20240229)
-    return rng.integers(1, 2**63, n, dtype=np.uint64) | np.uint64(1), rng.integers(0, 2**63, n, dtype=np.uint64)
+    return rng.integers(1, 2**31, n, dtype=np.uint32) * np.uint32(2) + np.uint32(1), rng.integers(0, 2**32, n, dtype=np.uint32)
 
 
 def shingle_set(text: str | None, size: int) -> np.ndarray:
@@ -63,12 +64,18 @@ def shingle_set(text: str | None, size: int) -> np.ndarray:
 
 
 def minhash(own: np.ndarray, n: int) -> np.ndarray:
-    """``n`` MinHash values of a set that is not empty."""
+    """``n`` MinHash values of a set that is not empty, by affine maps of 32-bit hashes."""
     a, b = _factors(n)
+    short = (own >> np.uint64(32)).astype(np.uint32)
     out = np.full(n, 0xFFFFFFFF, np.uint32)
-    step = max(1, 400_000 // n)
-    for k in range(0, len(own), step):  # long texts go through in pieces
-        np.minimum(out, (((own[k : k + step, None] * a + b) >> np.uint64(32)).astype(np.uint32)).min(axis=0), out=out)
+    step = max(1, 100_000 // n)
+    room = np.empty((min(step, len(short)), n), np.uint32)
+    for k in range(0, len(short), step):  # in pieces that stay in the cache
+        part = short[k : k + step, None]
+        values = room[: len(part)]
+        np.multiply(part, a, out=values)
+        values += b
+        np.minimum(out, values.min(axis=0), out=out)
     return out
 
 
@@ -103,7 +110,7 @@ def close_bits(s: Settings) -> str:
 def _sketch(it: Iterator[pa.RecordBatch], s: Settings) -> Iterator[pa.RecordBatch]:
     n = max(s.rows * s.bands, s.compared + 64 * BIT_WORDS)
     salt = np.arange(s.bands, dtype=np.uint64) * np.uint64(0xD1B54A32D192ED03)
-    mult = _factors(2 * n)[0][n : n + s.rows]
+    mult = np.random.default_rng(7).integers(1, 2**63, s.rows, dtype=np.uint64) | np.uint64(1)
     for batch in batches(it, 1000):
         ids, classes, bits, values, keys = [], [], [], [], []
         for key, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
