@@ -169,7 +169,9 @@ def near_duplicates(records: DataFrame, key: str, text: str, settings: Settings
     sketch = functools.partial(_sketch, s=s)
     sketched = checkpoint(rows.withColumn("id", F.col("id").cast("string")).mapInArrow(sketch, f"id string, class_id bigint, {', '.join(f'bits{j} bigint' for j in range(BIT_WORDS))}, minhash binary, bands array<bigint>"))
     members = sketched.groupBy("id").agg(F.min("class_id").alias("class_id"))
-    classes = sketched.dropDuplicates(["class_id"])
+    words = [f"bits{j}" for j in range(BIT_WORDS)]
+    # the rows of a class are alike; unlike a first row, their maximum lets both sides of the join share one exchange
+    classes = sketched.groupBy("class_id").agg(F.max(F.struct(*words, "minhash", "bands")).alias("row")).select("class_id", "row.*")
     banded = classes.select("class_id", F.explode("bands").alias("band"))
     a, b = banded.alias("a"), banded.alias("b")
     candidates = (
@@ -178,26 +180,25 @@ def near_duplicates(records: DataFrame, key: str, text: str, settings: Settings
         .select(F.col("a.class_id").alias("class_a"), F.col("b.class_id").alias("class_b"))
         .distinct()
     )
-    words = [f"bits{j}" for j in range(BIT_WORDS)]
     bits = classes.select("class_id", *words)
-    named = lambda side: bits.toDF(f"class_{side}", *[f"{side}{j}" for j in range(BIT_WORDS)])
+    named = lambda side: bits.toDF(f"class_{side}", *[f"{side}{j}" for j in range(BIT_WORDS)]).hint("merge")
     close = candidates.join(named("a"), "class_a").join(named("b"), "class_b").where(close_bits(s)).select("class_a", "class_b")
     values = classes.select("class_id", "minhash")
-    paired = close.join(values.toDF("class_a", "minhash_a"), "class_a").join(values.toDF("class_b", "minhash_b"), "class_b")
+    paired = close.join(values.toDF("class_a", "minhash_a").hint("merge"), "class_a").join(values.toDF("class_b", "minhash_b").hint("merge"), "class_b")
     likely = checkpoint(paired.select("class_a", "class_b", "minhash_a", "minhash_b").mapInArrow(functools.partial(_prune, s=s), "class_a bigint, class_b bigint"))
     # the shingle sets are made anew, only for classes of likely pairs
     wanted = likely.select(F.explode(F.array("class_a", "class_b")).alias("class_id")).distinct()
     chosen = sketched.groupBy("class_id").agg(F.min("id").alias("id")).join(wanted, "class_id")
     texts = rows.withColumn("id", F.col("id").cast("string")).join(chosen, "id").select("class_id", "text")
     sets = texts.mapInArrow(functools.partial(_sets, s=s), "class_id bigint, shingles binary").dropDuplicates(["class_id"])
-    both = likely.join(sets.toDF("class_a", "set_a"), "class_a").join(sets.toDF("class_b", "set_b"), "class_b")
+    both = likely.join(sets.toDF("class_a", "set_a").hint("merge"), "class_a").join(sets.toDF("class_b", "set_b").hint("merge"), "class_b")
     links = both.select("class_a", "class_b", "set_a", "set_b").mapInArrow(functools.partial(_verify, s=s), "class_a bigint, class_b bigint")
     return members, links
 
 
 def expand(members: DataFrame, links: DataFrame) -> DataFrame:
     """All pairs of records (a < b): those within a class and those of linked classes."""
-    a, b = members.toDF("a", "class_a"), members.toDF("b", "class_b")
+    a, b = (members.toDF(x, f"class_{x}").hint("merge") for x in "ab")
     same = a.join(b, F.col("class_a") == F.col("class_b")).where("a < b").select("a", "b")
     other = links.join(a, "class_a").join(b, "class_b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
     return same.unionByName(other)
