@@ -89,7 +89,7 @@ def same_on_screen(records: DataFrame, field: str = "field", key: str = "key", t
     forms = unify(records, [field, key], text).select(F.col(field).alias("field"), F.col(key).alias("key"), "raw", F.md5("form").alias("form"))
     classes = forms.groupBy("field", "form", "raw").agg(F.count("*").alias("n"))
     several = classes.groupBy("field", "form").agg(F.count("*").alias("variants")).where("variants > 1").drop("variants")
-    odd = forms.join(several, ["field", "form"])
+    odd = forms.join(several.hint("merge"), ["field", "form"])
     a = odd.select("field", "form", F.col("raw").alias("raw_a"), F.col("key").alias("a"))
     b = odd.select("field", "form", F.col("raw").alias("raw_b"), F.col("key").alias("b"))
-    return a.join(b, ["field", "form"]).where("a < b and raw_a <> raw_b").select("field", F.col("a").alias("key_a"), F.col("b").alias("key_b")).distinct()
+    return a.join(b.hint("merge"), ["field", "form"]).where("a < b and raw_a <> raw_b").select("field", F.col("a").alias("key_a"), F.col("b").alias("key_b")).distinct()
