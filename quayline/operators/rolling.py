@@ -17,20 +17,27 @@ from ..session import columns
 BLOCK_DAYS = 256
 
 
+def present(*names: str) -> str:
+    """Condition that none is null, worded as the planner words its own, so that equal ones are seen to be equal."""
+    return " and ".join(f"`{n}` is not null" for n in names)
+
+
 def latest(df: DataFrame, keys: list[str], order: str, values: list[str]) -> DataFrame:
     """The row with the latest ``order`` per key; of equally late ones the largest by values.
 
     Rows with a null key are dropped, a null ``order`` is the earliest. Works after any partitioning
     by a subset of the keys without a further shuffle.
     """
-    kept = df.dropna(subset=keys).groupBy(*keys).agg(F.max(F.struct(order, *values)).alias("_row"))
+    kept = df.where(present(*keys)).groupBy(*keys).agg(F.max(F.struct(order, *values)).alias("_row"))
     return kept.select(*keys, *[F.col("_row")[v].alias(v) for v in values])
 
 
 def daily(prices: DataFrame, *values: str) -> DataFrame:
     """Kept rows of a price table: ticker, block, date and the values."""
     rows = columns(prices, "ticker", "date", "updated_at", *values)
-    rows = rows.withColumn("block", F.floor(F.unix_date("date") / BLOCK_DAYS).cast("int")).repartition("ticker", "block")
+    rows = rows.withColumn("block", F.floor(F.unix_date("date") / BLOCK_DAYS).cast("int"))
+    # joins and windows ask for keys that are not null; asked for here, all branches read one exchange
+    rows = rows.where(present("ticker", "block", "date")).repartition("ticker", "block")
     return latest(rows, ["ticker", "block", "date"], "updated_at", list(values))
 
 
@@ -42,7 +49,7 @@ def rolling_totals(rows: DataFrame, entity: str, day: str, value: str, periods:
     entity or day are dropped; no rows give no rows.
     """
     longest = max(periods)
-    base = rows.select(F.col(entity).alias("entity"), F.col(day).alias("day"), F.greatest(F.coalesce(F.col(value), F.lit(0)), F.lit(0)).alias("v")).dropna(subset=["entity", "day"])
+    base = rows.select(F.col(entity).alias("entity"), F.col(day).alias("day"), F.greatest(F.coalesce(F.col(value), F.lit(0)), F.lit(0)).alias("v")).where(present("entity", "day"))
     spread = base.where("v > 0").select("entity", "day", "v", F.explode(F.sequence(F.lit(0), F.lit(longest - 1))).alias("ahead"))
     totals = spread.groupBy("entity", F.date_add("day", F.col("ahead")).alias("day")).agg(*[F.sum(F.when(F.col("ahead") < n, F.col("v")).otherwise(0)).alias(f"total_{n}") for n in periods])
     spans = base.groupBy("entity").agg(F.min("day").alias("first"), F.max("day").alias("last"))

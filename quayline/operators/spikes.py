@@ -28,7 +28,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..session import columns
-from .rolling import latest
+from .rolling import latest, present
 
 
 @dataclass(frozen=True)
@@ -180,7 +180,7 @@ def flag_series(rows: DataFrame, updated: str, close: str, volume: str | None, b
     series = ["ticker"] if interval else ["ticker", "bar_interval"]
     # the joins below ask for keys that are not null; asked for here, all branches read one exchange
     blocks = rows.withColumn("block", F.floor(F.col("ts") / block_us).cast("int"))
-    blocks = blocks.where(" and ".join(f"{c} is not null" for c in [*series, "block"])).repartition(*series, "block")
+    blocks = blocks.where(present(*series, "block")).repartition(*series, "block")
     kept = latest(blocks, [*series, "block", "ts"], updated, ["close", "volume", "low", "high"])
     fits = (F.col("close") > 0) & F.coalesce(F.col("close") <= F.col("high") + CLEAR * F.abs("high"), F.lit(True)) & F.coalesce(F.col("close") >= F.col("low") - CLEAR * F.abs("low"), F.lit(True))
     kept = kept.withColumn("c", F.when(fits, F.col("close"))).withColumn("v", F.when(F.col("volume") >= 0, F.col("volume").cast("double")))
