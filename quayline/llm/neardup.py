@@ -171,8 +171,8 @@ def near_duplicates(records: DataFrame, key: str, text: str, settings: Settings
     members = sketched.groupBy("id").agg(F.min("class_id").alias("class_id"))
     words = [f"bits{j}" for j in range(BIT_WORDS)]
     # the rows of a class are alike; unlike a first row, their maximum lets both sides of the join share one exchange
-    classes = sketched.groupBy("class_id").agg(F.max(F.struct(*words, "minhash", "bands")).alias("row")).select("class_id", "row.*")
-    banded = classes.select("class_id", F.explode("bands").alias("band"))
+    classes = sketched.groupBy("class_id").agg(F.max(F.struct(*words, "minhash")).alias("row")).select("class_id", "row.*")
+    banded = sketched.groupBy("class_id").agg(F.max("bands").alias("bands")).select("class_id", F.explode("bands").alias("band"))
     a, b = banded.alias("a"), banded.alias("b")
     candidates = (
         a.hint("merge").join(b, F.col("a.band") == F.col("b.band"))
