@@ -24,9 +24,9 @@ VERSION = "lexicon-1"
 
 
 def entities(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Entities of the titles and leads of relevant articles."""
-    rows = base.articles(spark, sf_dir, "status", "title", "sapo", "detected_tickers").where("status = 'relevant'")
-    cut = rows.select("article_id", T.sentences(T.full_text(F.col("title"), F.col("sapo"))).alias("sentences"), "detected_tickers")
+    """Entities of the whole texts of relevant articles."""
+    rows = base.articles(spark, sf_dir, "status", "title", "sapo", "content", "detected_tickers").where("status = 'relevant'")
+    cut = rows.select("article_id", T.sentences(T.full_text(F.col("title"), F.col("sapo"), F.col("content"))).alias("sentences"), "detected_tickers")
     out = linked_entities(cut, table(spark, sf_dir, "ticker_aliases"))
     return out.withColumn("id", F.xxhash64("article_id", "ticker", "sentence_index"))
 
