@@ -4,8 +4,8 @@ Texts become sets of word shingles. Exact copies (equal sets) form classes, and
 representative of each takes part in the search, so a hot group of copies costs one row. Banded
 MinHash keys give candidate pairs; for each, further MinHash values are compared step by step and
 the pair is dropped once the posterior probability (uniform prior) that its similarity reaches the
-threshold falls below ``Settings.drop``. The first steps compare one bit of each value, four words of
-64 values, inside the engine; the pairs that are left compare whole values, chunk by chunk. What is
+threshold falls below ``Settings.drop``. The first steps compare one bit of a hash of each value, four
+words of 64 values, inside the engine; the pairs that are left compare whole values, chunk by chunk. What is
 left then is verified exactly on the shingle sets.
 
 Null and empty texts and texts with fewer words than a shingle have no shingles and belong to no
@@ -83,6 +83,18 @@ def minhash(own: np.ndarray, n: int) -> np.ndarray:
 BIT_WORDS = 4
 
 
+def low_bits(values: np.ndarray) -> np.ndarray:
+    """One bit of a hash of each value and its place, packed into words of 64.
+
+    Bits of the values themselves will not do: those of a small set are maps of few elements, and an odd
+    factor leaves the lowest bit as it was, so that the bits of all functions would agree together.
+    """
+    x = values.astype(np.uint64) + (np.arange(1, len(values) + 1, dtype=np.uint64) << np.uint64(32))
+    x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+    x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+    return np.packbits((x >> np.uint64(63)).astype(np.uint8)).view(np.int64)
+
+
 def fewest(n: int, p: float, drop: float) -> int:
     """Least number of agreements among ``n`` at which P(rate >= p) is ``drop`` or more.
 
@@ -124,7 +136,7 @@ def _sketch(it: Iterator[pa.RecordBatch], s: Settings) -> Iterator[pa.RecordBatc
             keys.append((mixed * np.uint64(0x9E3779B97F4A7C15)).view(np.int64))
             ids.append(key)
             classes.append(np.int64(np.uint64(xxhash.xxh64_intdigest(own.tobytes())).view(np.int64)))
-            bits.append(np.packbits(low[s.compared : s.compared + 64 * BIT_WORDS] & 1).view(np.int64))
+            bits.append(low_bits(low[s.compared : s.compared + 64 * BIT_WORDS]))
             values.append(low[: s.compared].tobytes())
         yield pa.RecordBatch.from_arrays(
             [pa.array(ids, pa.string()), pa.array(classes, pa.int64()), *[pa.array([b[j] for b in bits], pa.int64()) for j in range(BIT_WORDS)], pa.array(values, pa.binary()), lists(np.concatenate(keys) if keys else np.empty(0, np.int64), [s.bands] * len(keys))],

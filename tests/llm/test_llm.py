@@ -6,6 +6,7 @@ import unicodedata
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 import tiktoken
 
@@ -166,6 +167,18 @@ def test_near_duplicates_like_brute_force(spark):
     assert neardup.expand(*neardup.near_duplicates(df.limit(0), "id", "text")).count() == 0
 
 
+@pytest.mark.parametrize(("one", "other"), [(1, 2), (2, 4), (3, 5), (4, 8)])
+def test_bits_keep_pairs_of_short_texts(one, other):
+    rng, s, n = random.Random(9), neardup.Settings(), 300
+    words = [[f"w{rng.randrange(10**9)}" for _ in range(other + 2)] for _ in range(n)]
+    rows = [(str(k), " ".join(w[: size + 2])) for k, w in enumerate(words) for size in (one, other)]
+    batch = pa.RecordBatch.from_arrays([pa.array(c, pa.string()) for c in zip(*rows)], ["id", "text"])
+    bits = np.concatenate([np.stack([out.column(f"bits{j}").to_numpy() for j in range(neardup.BIT_WORDS)], axis=1) for out in neardup._sketch(iter([batch]), s)])
+    differ = np.cumsum([[int(x).bit_count() for x in row] for row in (bits[::2] ^ bits[1::2]).view(np.uint64)], axis=1)
+    most = [64 * k - neardup.fewest(64 * k, (1 + s.threshold) / 2, s.drop) for k in range(1, neardup.BIT_WORDS + 1)]
+    assert len(bits) == 2 * n and (differ > most).any(axis=1).sum() <= 1
+
+
 def test_strict_near_duplicates(spark):
     rng = random.Random(8)
     base = texts(rng, 20)
