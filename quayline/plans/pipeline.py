@@ -66,7 +66,8 @@ def inc_04_pipeline_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def jon_14_mentions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Entity rows without a restriction to detected tickers."""
-    rows = base.articles(spark, sf_dir, "title").select("article_id", F.array(T.clean(F.col("title"))).alias("sentences"), F.array().cast("array<string>").alias("detected_tickers"))
+    text = T.full_text(F.col("title"), F.col("sapo"), F.col("content"))
+    rows = base.articles(spark, sf_dir, "title", "sapo", "content").select("article_id", T.sentences(text).alias("sentences"), F.array().cast("array<string>").alias("detected_tickers"))
     return linked_entities(rows, table(spark, sf_dir, "ticker_aliases")).select("article_id", "ticker", "entity_text", "alias_type")
 
 
@@ -75,7 +76,7 @@ def jon_18_company_contexts(spark: SparkSession, sf_dir: str, ticker: str = "QVF
     own = table(spark, sf_dir, "ticker_aliases").where(F.col("ticker") == ticker).select("ticker", "alias", "alias_type", "weight", "alias_normalized")
     fallback = spark.createDataFrame([(ticker, ticker, "ticker", 1.0, ticker.lower())], own.schema)
     chosen = own if own.take(1) else fallback
-    rows = _texts(spark, sf_dir, "sapo").select("article_id", T.sentences(T.clean(F.col("sapo"))).alias("sentences"), F.array().cast("array<string>").alias("detected_tickers"))
+    rows = _texts(spark, sf_dir, "content").select("article_id", T.sentences(T.clean(F.col("content"))).alias("sentences"), F.array().cast("array<string>").alias("detected_tickers"))
     return linked_entities(rows, chosen).select("article_id", "sentence_index", "context").distinct()
 
 

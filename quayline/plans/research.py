@@ -86,7 +86,8 @@ def mle_05_split_sizes(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def udf_07_predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = base.articles(spark, sf_dir, "title", "sapo").select(F.col("article_id").alias("id"), T.full_text(F.col("title"), F.col("sapo")).alias("model_input"))
+    text = T.full_text(F.col("title"), F.col("sapo"), F.col("content"))
+    rows = base.articles(spark, sf_dir, "title", "sapo", "content").select(F.col("article_id").alias("id"), text.alias("model_input"))
     return predict(rows).select("id", "sentiment_label", *[r6(c).alias(c) for c in ("sentiment_score", "confidence")])
 
 

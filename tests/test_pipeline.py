@@ -4,7 +4,7 @@ import datetime as dt
 
 import pytest
 
-from quayline.plans import pipeline
+from quayline.plans import pipeline, research
 
 ARTICLES = "article_id string, title string, sapo string, content string, detected_tickers array<string>, status string, crawl_at timestamp, updated_at timestamp"
 ALIASES = "id bigint, ticker string, alias string, alias_type string, weight double, alias_normalized string"
@@ -25,3 +25,12 @@ def test_pipeline_reads_contents(spark, folder):
     assert {("x", "AAA", "business_financials"), ("x", "BBB", "macro_policy"), ("y", "AAA", "business_financials")} <= aspects
     scores = {(r.article_id, r.ticker): r.aspect_count for r in pipeline.inc_04_pipeline_scores(spark, folder).collect()}
     assert set(scores) == {("x", "AAA"), ("x", "BBB"), ("y", "AAA")} and scores["x", "AAA"] >= 2
+
+
+def test_mentions_contexts_and_scores_of_contents(spark, folder):
+    mentions = sorted(tuple(r)[:2] for r in pipeline.jon_14_mentions(spark, folder).collect())
+    assert mentions == [("x", "AAA"), ("x", "AAA"), ("x", "BBB"), ("y", "AAA")]
+    found = {(r.article_id, r.sentence_index) for r in pipeline.jon_18_company_contexts(spark, folder, "AAA").collect()}
+    assert found == {("x", 1), ("x", 3)}
+    scores = {r.id: r.confidence for r in research.udf_07_predictions(spark, folder).collect()}
+    assert scores == {"x": 0.333333, "y": 1.0}
