@@ -35,12 +35,12 @@ def balanced(train: DataFrame, label: str = "target_up") -> DataFrame:
     return train.withColumn("weight", weight)
 
 
-def _classifiers(seed: int, trees: int) -> dict:
+def _classifiers(seed: int, trees: int, rounds: int) -> dict:
     common = {"featuresCol": "scaled", "labelCol": "target_up", "weightCol": "weight"}
     return {
         "logistic": LogisticRegression(maxIter=200, **common),
         "random_forest": RandomForestClassifier(numTrees=trees, maxDepth=5, minInstancesPerNode=8, seed=seed, **common),
-        "gradient_boosting": GBTClassifier(maxIter=max(5, trees // 4), stepSize=0.05, maxDepth=2, seed=seed, featuresCol="scaled", labelCol="target_up"),
+        "gradient_boosting": GBTClassifier(maxIter=rounds, stepSize=0.05, maxDepth=2, seed=seed, featuresCol="scaled", labelCol="target_up"),
     }
 
 
@@ -48,7 +48,7 @@ def _prepared(features: list[str]) -> list:
     return [VectorAssembler(inputCols=features, outputCol="x"), StandardScaler(inputCol="x", outputCol="scaled", withMean=True)]
 
 
-def classify(train: DataFrame, test: DataFrame, features: list[str], seed: int = 42, trees: int = 20) -> dict[str, DataFrame]:
+def classify(train: DataFrame, test: DataFrame, features: list[str], seed: int = 42, trees: int = 300, rounds: int = 150) -> dict[str, DataFrame]:
     """Predictions (ticker, date, target_up, pred_up, score) of each model; none where a side has one class."""
     both = [{r[0] for r in df.select("target_up").distinct().collect()} for df in (train, test)]
     if any(len(b) < 2 for b in both):
@@ -57,7 +57,7 @@ def classify(train: DataFrame, test: DataFrame, features: list[str], seed: int =
     ready = Pipeline(stages=_prepared(features)).fit(weighted)
     fit, ask = ready.transform(weighted), ready.transform(test)
     out = {}
-    for name, model in _classifiers(seed, trees).items():
+    for name, model in _classifiers(seed, trees, rounds).items():
         predicted = model.fit(fit).transform(ask)
         out[name] = predicted.select("ticker", "date", "target_up", F.col("prediction").cast("int").alias("pred_up"), vector_to_array("probability")[1].alias("score"))
     ridge = LinearRegression(regParam=1.0, elasticNetParam=0.0, featuresCol="scaled", labelCol="y", weightCol="weight").fit(fit.withColumn("y", F.col("target_up") * 2.0 - 1.0))
@@ -65,7 +65,7 @@ def classify(train: DataFrame, test: DataFrame, features: list[str], seed: int =
     return out
 
 
-def regress(train: DataFrame, test: DataFrame, features: list[str], target: str = "target_return", seed: int = 42, trees: int = 20) -> dict[str, DataFrame]:
+def regress(train: DataFrame, test: DataFrame, features: list[str], target: str = "target_return", seed: int = 42, trees: int = 300, rounds: int = 150) -> dict[str, DataFrame]:
     """Predictions (ticker, date, target, prediction) of each regressor."""
     ready = Pipeline(stages=_prepared(features)).fit(train)
     fit, ask = ready.transform(train).cache(), ready.transform(test)
@@ -74,8 +74,8 @@ def regress(train: DataFrame, test: DataFrame, features: list[str], target: str
         "linear": LinearRegression(**common),
         "ridge": LinearRegression(regParam=1.0, elasticNetParam=0.0, **common),
         "lasso": LinearRegression(regParam=0.001, elasticNetParam=1.0, **common),
-        "random_forest": RandomForestRegressor(numTrees=trees, maxDepth=5, seed=seed, **common),
-        "gradient_boosting": GBTRegressor(maxIter=trees, stepSize=0.05, maxDepth=2, seed=seed, **common),
+        "random_forest": RandomForestRegressor(numTrees=trees, maxDepth=5, minInstancesPerNode=8, seed=seed, **common),
+        "gradient_boosting": GBTRegressor(maxIter=rounds, stepSize=0.05, maxDepth=2, seed=seed, **common),
     }
     return {name: m.fit(fit).transform(ask).select("ticker", "date", F.col(target).alias("target"), "prediction") for name, m in models.items()}
 
