@@ -111,7 +111,12 @@ def clean(c: Column) -> Column:
 
 def match_form(c: Column) -> Column:
     """Clean text in lower-case ASCII letters, digits and a few signs."""
-    plain = F.lower(remove_accents(clean(c)))
+    return match_clean(clean(c))
+
+
+def match_clean(c: Column) -> Column:
+    """The same of a text that is clean already."""
+    plain = F.lower(remove_accents(c))
     return collapse(F.regexp_replace(plain, f"[^a-z0-9{WS}\\-_/.]", " "))
 
 

@@ -13,12 +13,12 @@ from ..operators.features import label, price_features, weighted_score
 from ..operators.inference import predict
 from ..operators.upsert import last_per_key, pending, upsert
 from ..schema import KEYS, TABLES, empty, exists, truncated
-from ..session import shared_folder, table
+from ..session import shared_folder, table, written
 from ..sources.files import load_panel, load_samples, normalize_prices
 from . import base
 from .base import r6, sql_r6
 from .panel import _FEATS, PANEL_SQL, daily_index, panel
-from .texts import ASPECTS, _texts
+from .texts import _texts, top_aspects
 
 VERSION = "lexicon-1"
 
@@ -31,27 +31,16 @@ def entities(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.withColumn("id", F.xxhash64("article_id", "ticker", "sentence_index"))
 
 
-def aspects(rows: DataFrame, most: int = 3, words: dict[str, list[str]] = ASPECTS) -> DataFrame:
+def aspects(rows: DataFrame, most: int = 3) -> DataFrame:
     """Aspects of entity contexts by the words found, the first aspect where none is; ties in the dictionary's order."""
-    matched = rows.withColumn("m", F.lower(T.remove_accents(F.col("context"))))
-    import unicodedata
-
-    def bare(p: str) -> str:
-        return "".join(ch for ch in unicodedata.normalize("NFD", p.lower()) if unicodedata.category(ch) != "Mn").replace("đ", "d")
-
-    cells = []
-    for k, (name, listed) in enumerate(words.items()):
-        hits = F.filter(F.array(*[F.when(F.contains("m", F.lit(bare(w))), F.lit(w)) for w in listed]), lambda x: x.isNotNull())
-        cells.append(F.struct((-F.size(hits)).alias("minus"), F.lit(k).alias("k"), F.lit(name).alias("aspect"), hits.alias("aspect_keywords")))
-    scored = F.array_sort(F.filter(F.array(*cells), lambda c: c.minus < 0))
-    none = F.array(F.struct(F.lit(0).alias("minus"), F.lit(0).alias("k"), F.lit(next(iter(words))).alias("aspect"), F.array().cast("array<string>").alias("aspect_keywords")))
-    chosen = matched.withColumn("c", scored).withColumn("c", F.when(F.size("c") > 0, F.slice("c", 1, most)).otherwise(none))
-    out = chosen.select(F.col("id").alias("entity_id"), "article_id", "ticker", "context", F.explode("c").alias("a")).select("entity_id", "article_id", "ticker", "a.aspect", "a.aspect_keywords", F.concat(F.lit("[STOCK] "), "ticker", F.lit(" [/STOCK] [TEXT] "), "context", F.lit(" [/TEXT]")).alias("model_input"))
+    chosen = rows.withColumn("m", T.match_clean(F.col("context"))).withColumn("c", top_aspects(F.col("m"), most))
+    out = chosen.select(F.col("id").alias("entity_id"), "article_id", "ticker", "context", F.explode_outer("c").alias("a")).select("entity_id", "article_id", "ticker", "a.aspect", F.col("a.words").alias("aspect_keywords"), (-F.col("a.minus")).cast("double").alias("aspect_score"), F.concat(F.lit("[STOCK] "), "ticker", F.lit(" [/STOCK] [TEXT] "), "context", F.lit(" [/TEXT]")).alias("model_input"))
     return out.withColumn("id", F.xxhash64("entity_id", "aspect"))
 
 
 def predictions(rows: DataFrame) -> DataFrame:
     """Scored aspects; ids that the model gives back unasked would be dropped by the join."""
+    rows = written(rows)
     scored = predict(rows.select(F.col("id").cast("string").alias("id"), "model_input")).withColumn("id", F.col("id").cast("bigint"))
     return rows.select("id", "entity_id", "article_id", "ticker", "aspect").join(scored, "id").withColumnRenamed("id", "entity_aspect_id").withColumn("model_version", F.lit(VERSION)).withColumn("inference_status", F.lit("success"))
 

@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import atexit
 import os
+import re
+import shutil
 import tempfile
 import uuid
 
@@ -28,23 +31,62 @@ def session(app: str = "quayline", cpus: str | None = None, **conf: str) -> Spar
     return builder.getOrCreate()
 
 
+#: Folders of our own making, by process; they are removed when it ends.
+_OWN: list[str] = []
+#: Tables written for this session; ``release`` removes them.
+_WRITTEN: list[str] = []
+
+
+def _own_folder(spark: SparkSession) -> str:
+    """A temporary folder where one machine is all there is; a cluster has to name one that all executors share."""
+    master = spark.sparkContext.master
+    if not re.fullmatch(r"local(\[.*\])?", master):
+        raise RuntimeError(f"spark.checkpoint.dir is not set, and a folder of this machine is of no use to {master}")
+    if not _OWN:
+        _OWN.append(tempfile.mkdtemp(prefix="quayline-"))
+        atexit.register(shutil.rmtree, _OWN[0], ignore_errors=True)
+    return _OWN[0]
+
+
+def _named_folder(spark: SparkSession) -> str | None:
+    return spark.sparkContext.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None)
+
+
 def shared_folder(spark: SparkSession) -> str:
     """A new folder that all executors see: under the checkpoint folder of the cluster, our own only where none is named."""
-    named = spark.sparkContext.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None)
-    return f"{(named or tempfile.mkdtemp(prefix='quayline-shared-')).rstrip('/')}/quayline-{uuid.uuid4().hex}"
+    return f"{(_named_folder(spark) or _own_folder(spark)).rstrip('/')}/quayline-{uuid.uuid4().hex}"
+
+
+def written(df: DataFrame) -> DataFrame:
+    """Cut the lineage by a table in the shared folder.
+
+    Unlike a checkpoint it is compressed, read by columns, and its size is known, so that the planner
+    broadcasts it only if it is as small as the session allows.
+    """
+    path = shared_folder(df.sparkSession)
+    df.write.parquet(path)
+    _WRITTEN.append(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def release(spark: SparkSession) -> None:
+    """Remove the tables that ``written`` made; what was read from them must be done with."""
+    jvm = spark.sparkContext._jvm
+    while _WRITTEN:
+        path = jvm.org.apache.hadoop.fs.Path(_WRITTEN.pop())
+        path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def checkpoint(df: DataFrame) -> DataFrame:
     """Cut the lineage through reliable storage.
 
     The folder is the one the cluster names in ``spark.checkpoint.dir``; only where that is unset
-    (tests, a laptop) a folder of our own is made.
+    on a single machine (tests, a laptop) a folder of our own is made.
     """
     spark = df.sparkSession
     jsc = spark.sparkContext._jsc.sc()
     if not jsc.getCheckpointDir().isDefined():
-        named = spark.sparkContext.getConf().get("spark.checkpoint.dir")
-        spark.sparkContext.setCheckpointDir(named or tempfile.mkdtemp(prefix="quayline-checkpoint-"))
+        spark.sparkContext.setCheckpointDir(_named_folder(spark) or _own_folder(spark))
     return df.checkpoint()
 
 
