@@ -11,7 +11,7 @@ from ..session import table
 from .furniture import furniture_lines, without_furniture
 from .leaks import find_leaks
 from .lookalikes import same_on_screen
-from .neardup import expand, near_duplicates
+from .neardup import expand, groups, near_duplicates
 from .nearest import nearest
 from .reading import reading_levels
 from .sentences import sentence_ends
@@ -43,6 +43,11 @@ def p5_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return expand(members, links).toDF("article_a", "article_b")
 
 
+def p5_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every article with words enough, its class of equal contents, its group of near-equal ones and its number of links."""
+    return groups(*near_duplicates(table(spark, sf_dir, "articles"), "article_id", "content")).withColumnRenamed("id", "article_id")
+
+
 def p6_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return furniture_lines(table(spark, sf_dir, "articles"), "article_id", "category", "content").toDF("article_id", "line_no")
 
@@ -68,7 +73,7 @@ def p10_levels(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (p1_found, p2_found, p3_found, p5_found, p6_found, p6_clean, p8_ids, p9_found, p10_found, p10_levels)}
+    return {f.__name__: f for f in (p1_found, p2_found, p3_found, p5_found, p5_groups, p6_found, p6_clean, p8_ids, p9_found, p10_found, p10_levels)}
 
 
 SQL = {

@@ -193,14 +193,47 @@ def rowsafe(words):
 
 
 def test_bounds_of_the_posterior():
-    s = neardup.Settings()
-    bounds = neardup.needed(s)
+    s, steps = neardup.Settings(), range(64, 64 * neardup.BIT_WORDS + 1, 64)
+    bounds = [neardup.fewest(n, (1 + s.threshold) / 2, s.drop) for n in steps]
     rng = np.random.default_rng(0)
-    draws = rng.random((20_000, s.compared)) < 0.6
-    for k, least in enumerate(bounds):
-        n = (k + 1) * s.chunk
+    draws = rng.random((20_000, steps[-1])) < (1 + 0.6) / 2
+    for n, least in zip(steps, bounds):
         assert (draws[:, :n].sum(axis=1) < least).mean() < 1e-3
-    assert bounds == sorted(bounds) and bounds[-1] < s.compared * s.threshold
+    assert bounds == sorted(bounds) and bounds[-1] < steps[-1] * (1 + s.threshold) / 2
+
+
+def test_hot_bands_are_cut_into_blocks(spark):
+    """A hundred near-equal texts share nearly all bands; blocks of seven lose no pair."""
+    rng = random.Random(12)
+    base = texts(rng, 1)[0][:80]
+    rows = []
+    for k in range(100):
+        words = list(base)
+        words[k % 75] = f"đổi{k}"
+        rows.append((f"{k:03}", " ".join(words)))
+    df = spark.createDataFrame(rows, "id string, text string")
+    members, links = neardup.near_duplicates(df, "id", "text", block=7)
+    assert found(neardup.expand(members, links)) == {(f"{a:03}", f"{b:03}") for a in range(100) for b in range(a + 1, 100)}
+    got = neardup.groups(members, links).collect()
+    assert len({r.group_id for r in got}) == 1 and {r.links for r in got} == {99} and len(got) == 100
+
+
+def test_components(spark):
+    rng = random.Random(3)
+    edges = {tuple(sorted(rng.sample(range(400), 2))) for _ in range(180)} | {(k, k + 1) for k in range(500, 640)} | {(700, k) for k in range(701, 760)}
+    root: dict[int, int] = {}
+
+    def top(x):
+        while root.setdefault(x, x) != x:
+            x = root[x]
+        return x
+
+    for a, b in edges:
+        x, y = sorted((top(a), top(b)))
+        root[y] = x
+    want = {(x, top(x)) for e in edges for x in e}
+    assert found(neardup.components(spark.createDataFrame(sorted(edges), "class_a bigint, class_b bigint"))) == want
+    assert neardup.components(spark.createDataFrame([], "class_a bigint, class_b bigint")).count() == 0
 
 
 # --- page furniture -------------------------------------------------------------------------------
