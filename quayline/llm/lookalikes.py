@@ -18,7 +18,7 @@ import unicodedata
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..session import columns
+from ..session import columns, written
 from . import screen
 
 _CUT = "\x01"
@@ -31,7 +31,7 @@ ANCHORS = "\n a¡®àñĩơưạ“„、「。あア中가าאبनё"
 
 def _pattern() -> str:
     """A cluster that may change: a character outside the stable runs, or any one with marks."""
-    edges = [(0x1F, 0x1F), *[(a, b) for a, b in screen.unstable() if b > 0x1F], (0x20000, 0x20000)]
+    edges = [(0x1F, 0x1F), *[(a, b) for a, b in screen.unstable() if b > 0x1F], (screen.LAST, screen.LAST)]
     runs = [(a[1] + 1, b[0] - 1) for a, b in zip(edges, edges[1:])]
     stable = "\\n" + "".join(f"\\x{{{a:x}}}-\\x{{{b:x}}}" for a, b in runs if any(a <= ord(c) <= b for c in ANCHORS))
     return f"(?s)[^{stable}]\\p{{M}}*|[{stable}&&[^\\p{{M}}]]\\p{{M}}+|\\p{{M}}{{2,}}"
@@ -40,7 +40,7 @@ def _pattern() -> str:
 def _decompositions(spark: SparkSession) -> DataFrame:
     """Every character that is mapped or combines: its code points with their combining classes."""
     table = {chr(c): out for c, out in screen.decompositions().items()}
-    for code in range(0x20000):
+    for code in screen.codes():
         ch = chr(code)
         if unicodedata.combining(ch):
             table.setdefault(ch, ch)
@@ -83,13 +83,13 @@ def unify(records: DataFrame, keys: list[str], text: str = "text") -> DataFrame:
 def same_on_screen(records: DataFrame, field: str = "field", key: str = "key", text: str = "text") -> DataFrame:
     """(field, key_a, key_b), key_a < key_b: records whose texts look the same but differ in characters.
 
-    Texts are first reduced to classes of equal characters; classes of one form are paired, and only
-    then are their members put in. Forms of a single class take no part.
+    The forms are made once and written as two fingerprints a record; forms of a single class of equal
+    characters take no part. A record meets only records of other classes of its form: the pairs made
+    are those returned.
     """
-    forms = unify(records, [field, key], text).select(F.col(field).alias("field"), F.col(key).alias("key"), "raw", F.md5("form").alias("form"))
-    classes = forms.groupBy("field", "form", "raw").agg(F.count("*").alias("n"))
-    several = classes.groupBy("field", "form").agg(F.count("*").alias("variants")).where("variants > 1").drop("variants")
-    odd = forms.join(several.hint("merge"), ["field", "form"])
+    forms = written(unify(records, [field, key], text).select(F.col(field).alias("field"), F.col(key).alias("key"), F.unhex("raw").alias("raw"), F.unhex(F.md5("form")).alias("form")))
+    several = forms.groupBy("field", "form").agg(F.min("raw").alias("least"), F.max("raw").alias("most")).where("least <> most").select("field", "form")
+    odd = written(forms.join(several.hint("merge"), ["field", "form"]))
     a = odd.select("field", "form", F.col("raw").alias("raw_a"), F.col("key").alias("a"))
     b = odd.select("field", "form", F.col("raw").alias("raw_b"), F.col("key").alias("b"))
     return a.join(b.hint("merge"), ["field", "form"]).where("a < b and raw_a <> raw_b").select("field", F.col("a").alias("key_a"), F.col("b").alias("key_b")).distinct()

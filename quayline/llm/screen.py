@@ -9,9 +9,10 @@ use; ``unify`` in :mod:`quayline.llm.lookalikes` is the relational operator over
 from __future__ import annotations
 
 import functools
+import itertools
 import re
-import sys
 import unicodedata
+from collections.abc import Iterator
 
 # Letters of other scripts (and rare Latin ones) drawn like a common Latin letter.
 LOOKALIKES = {
@@ -30,6 +31,13 @@ SAME_GLYPH = {"<wide>", "<narrow>", "<font>", "<noBreak>"}
 #: Marks of compatibility forms of several letters: Roman numerals, ligatures, digraphs, the ellipsis.
 COMPAT_BLOCKS = ((0x0132, 0x0133), (0x01C4, 0x01CC), (0x01F1, 0x01F3), (0x2024, 0x2026), (0x2160, 0x217F), (0xFB00, 0xFB06))
 BLANK = " "
+#: Beyond the last assigned character that has a form of its own or is invisible.
+LAST = 0xE0200
+
+
+def codes() -> Iterator[int]:
+    """Code points of the planes with assigned characters, without surrogates, private use and planes that are empty."""
+    return itertools.chain(range(0xD800), range(0xF900, 0x33480), range(0xE0000, LAST))
 
 
 def _invisible(ch: str) -> bool:
@@ -64,11 +72,11 @@ def _one(ch: str) -> str:
 def decompositions() -> dict[int, str]:
     """Code point -> decomposed screen form, of all that change; Hangul syllables are composed alike already.
 
-    The size is that of the Unicode repertoire, not of the data: some 5,000 rows.
+    The size is that of the Unicode repertoire, not of the data: some 6,000 rows.
     """
     table = {}
-    for code in range(0x20000):
-        if 0xAC00 <= code <= 0xD7A3 or 0xD800 <= code <= 0xDFFF:
+    for code in codes():
+        if 0xAC00 <= code <= 0xD7A3:
             continue
         ch = chr(code)
         if unicodedata.category(ch) == "Cn":
@@ -83,9 +91,9 @@ def decompositions() -> dict[int, str]:
 def compositions() -> dict[str, str]:
     """Decomposed cluster -> its one composed character."""
     table = {}
-    for code in range(0x20000):
+    for code in codes():
         ch = chr(code)
-        if 0xAC00 <= code <= 0xD7A3 or 0xD800 <= code <= 0xDFFF or not unicodedata.decomposition(ch):
+        if 0xAC00 <= code <= 0xD7A3 or not unicodedata.decomposition(ch):
             continue
         full = unicodedata.normalize("NFD", ch)
         if full != ch and len(full) > 1 and unicodedata.normalize("NFC", full) == ch:
@@ -145,5 +153,3 @@ def one_to_one() -> tuple[dict[int, str], frozenset[str]]:
     hidden = frozenset(chr(c) for c, out in table.items() if out == "")
     return {c: out for c, out in table.items() if len(out) == 1}, hidden
 
-
-assert sys.maxunicode > 0xFFFF
