@@ -6,10 +6,11 @@ clause-depth proxy and lengths, fitted to the labelled documents. Word counts ar
 so what is sent to the tasks has a fixed size (``BUCKETS`` numbers) whatever the corpus; the model is
 fitted on at most ``LABELLED`` labelled documents, chosen by the hash of their id. Counting and
 scoring cover every document. Texts are read once; what is needed of them, three bytes a word, is
-checkpointed, and nothing but counts, labelled documents and levels is shuffled.
+written, and nothing but counts, labelled documents and levels is shuffled.
 
 Words are blank-separated, without what is no letter or digit in them. Documents not written mainly
-in Latin letters, and null or wordless texts, have no level and no row;
+in Latin letters, those whose words the labelled documents hardly use (another language in Latin
+letters), and null or wordless texts, have no level and no row;
 repeated rows of one id give one row (the larger level, if their texts differ). Ratings of one document are averaged;
 labels without document and nulls are passed over. Without labels of at least two levels there is
 nothing to fit and no row.
@@ -24,20 +25,26 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..session import checkpoint
+from ..session import written
 from . import screen
 from .arrow import MEMO, batches, narrow
 
 BUCKETS = 1 << 18
+#: Buckets of one row of what is sent to the driver.
+PAGE = 1 << 10
 LABELLED = 6000
 LEVELS = 4
 #: Ridge per labelled document: light on the graded vocabulary, heavy on the shape of the text, which
 #: goes along with the level in most documents but must not outvote the words in short ones.
 RIDGE_WORDS, RIDGE_SHAPE = 0.001, 0.2
+#: A text of which labelled documents use fewer words than this share, or than half the share of the least
+#: covered labelled document (itself aside), is of another language that is written in Latin letters.
+FOREIGN = 0.5
 #: Weight of the overall mean in a word's grade, in documents.
 SMOOTH = 2.0
 
@@ -65,19 +72,19 @@ class Words(dict):
 
     def reset(self) -> None:
         self.clear()
-        self.bucket, self.link, self.chars, self.other = array("i"), array("b"), array("h"), array("h")
+        self.bucket, self.link, self.chars, self.other = array("i"), array("b"), array("i"), array("i")
 
     def __missing__(self, token: str) -> int:
         word = "".join(screen._words().findall(token))
         place = self[token] = len(self.bucket)
         self.bucket.append(xxhash.xxh64_intdigest(word) >> 46 if word else -1)
         self.link.append(word in _LINKS)
-        self.chars.append(min(len(word), 30_000))
-        self.other.append(min(sum(map(_is_other, word)), 30_000))
+        self.chars.append(len(word))
+        self.other.append(sum(map(_is_other, word)))
         return place
 
     def known(self) -> tuple[np.ndarray, ...]:
-        return tuple(np.frombuffer(x, t) for x, t in ((self.bucket, np.int32), (self.link, np.int8), (self.chars, np.int16), (self.other, np.int16)))
+        return tuple(np.frombuffer(x, t) for x, t in ((self.bucket, np.int32), (self.link, np.int8), (self.chars, np.int32), (self.other, np.int32)))
 
 
 def _is_other(ch: str) -> bool:
@@ -128,13 +135,16 @@ class Lexicon:
         self.sums = np.zeros(BUCKETS, np.float32)
         self.docs = np.zeros(BUCKETS, np.float32)
         self.mean = 0.0
+        self.foreign = 0.0
 
-    def grade(self, texts: list[Text], levels: np.ndarray) -> None:
-        for t, level in zip(texts, levels):
-            own = np.unique(t.buckets)
-            self.sums[own] += level
-            self.docs[own] += 1
-        self.mean = float(np.mean(levels))
+    def grade(self, sums: np.ndarray, docs: np.ndarray, mean: float) -> None:
+        self.sums, self.docs, self.mean = sums.astype(np.float32), docs.astype(np.float32), mean
+
+    def covered(self, texts: list[Text], own: int = 0) -> np.ndarray:
+        """Share of each text's words that labelled documents use; ``own``: how many of these are the text itself."""
+        n = np.array([len(t.buckets) for t in texts])
+        known = self.docs[np.concatenate([t.buckets for t in texts])] > own
+        return np.add.reduceat(known.astype(np.float64), np.concatenate([[0], np.cumsum(n)[:-1]])) / n
 
     def features(self, texts: list[Text], own_levels: np.ndarray | None = None) -> np.ndarray:
         """One row per text. ``own_levels``: what these labelled texts themselves put into the grades."""
@@ -226,7 +236,49 @@ def _tally(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         if batch.num_rows:
             counts += np.bincount(unpacked(b"".join(batch.column(0).to_pylist())), minlength=BUCKETS)
     used = np.flatnonzero(counts)
-    yield pa.RecordBatch.from_arrays([pa.array(used.astype(np.int32)), pa.array(counts[used])], ["bucket", "n"])
+    yield pa.RecordBatch.from_arrays([pa.array(used.astype(np.int32)), pa.array(counts[used].astype(float))], ["bucket", "n"])
+
+
+def _levels(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Sum of levels and number of the documents that use a bucket."""
+    sums, docs = np.zeros(BUCKETS), np.zeros(BUCKETS)
+    for batch in batches(it, 500):
+        for data, level in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+            own = np.unique(unpacked(data))
+            sums[own] += level
+            docs[own] += 1
+    used = np.flatnonzero(docs)
+    yield pa.RecordBatch.from_arrays([pa.array(used.astype(np.int32)), pa.array(sums[used]), pa.array(docs[used])], ["bucket", "s", "d"])
+
+
+def _pages(it: Iterator[pa.RecordBatch], names: int) -> Iterator[pa.RecordBatch]:
+    for batch in it:
+        cells = batch.column(1)
+        flat, page = cells.flatten(), np.repeat(np.arange(batch.num_rows), pc.list_value_length(cells).to_numpy())
+        out = np.zeros((batch.num_rows, names, PAGE))
+        for j in range(names):
+            out[page, j, flat.field(0).to_numpy() % PAGE] = flat.field(j + 1).to_numpy()
+        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([x.tobytes() for x in out], pa.binary())], ["page", "data"])
+
+
+def by_bucket(parts: DataFrame, *names: str) -> list[np.ndarray]:
+    """Sums by bucket, one array a name: ``BUCKETS`` numbers, however many rows there are."""
+    sums = parts.groupBy("bucket").agg(*[F.sum(n).alias(n) for n in names])
+    cells = sums.groupBy(F.floor(F.col("bucket") / PAGE).cast("int").alias("page")).agg(F.collect_list(F.struct("bucket", *names)).alias("cells"))
+    whole = np.zeros((len(names), BUCKETS // PAGE, PAGE))
+    got = cells.mapInArrow(functools.partial(_pages, names=len(names)), "page int, data binary").toArrow()
+    for page, data in zip(got.column(0).to_pylist(), got.column(1).to_pylist()):
+        whole[:, page] = np.frombuffer(data).reshape(len(names), PAGE)
+    return list(whole.reshape(len(names), BUCKETS))
+
+
+def _featured(it: Iterator[pa.RecordBatch], sent) -> Iterator[pa.RecordBatch]:
+    lexicon = sent.value
+    for batch in batches(it, 500):
+        if batch.num_rows:
+            levels = batch.column(batch.num_columns - 1).to_numpy()
+            texts = _texts(batch.drop_columns(["level"]))
+            yield pa.RecordBatch.from_arrays([pa.array(levels), pa.array(lexicon.covered(texts, 1)), *map(pa.array, lexicon.features(texts, levels).T)], ["level", "covered", *FEATURES])
 
 
 def _grade(it: Iterator[pa.RecordBatch], sent) -> Iterator[pa.RecordBatch]:
@@ -234,30 +286,36 @@ def _grade(it: Iterator[pa.RecordBatch], sent) -> Iterator[pa.RecordBatch]:
     for batch in batches(it, 500):
         texts = _texts(batch.drop_columns(["doc_id"])) if batch.num_rows else []
         levels = model.levels(lexicon.features(texts)) if texts else np.empty(0)
-        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(levels.astype(np.int32))], ["doc_id", "level"])
+        own = np.flatnonzero(lexicon.covered(texts) >= lexicon.foreign) if texts else np.empty(0, int)
+        yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(own)), pa.array(levels[own].astype(np.int32))], ["doc_id", "level"])
 
 
 def fit(parsed: DataFrame, labels: DataFrame) -> tuple[Lexicon, Ordinal] | None:
-    """The lexicon of all documents and the model of the labelled ones."""
-    counts = np.zeros(BUCKETS, np.int64)
-    for r in parsed.select("buckets").mapInArrow(_tally, "bucket int, n bigint").groupBy("bucket").agg(F.sum("n").alias("n")).collect():
-        counts[r.bucket] = r.n
-    lexicon = Lexicon(counts)
+    """The lexicon of all documents and the model of the labelled ones.
+
+    The driver gets sums by bucket and the features of the labelled documents, no text.
+    """
+    lexicon = Lexicon(by_bucket(parsed.select("buckets").mapInArrow(_tally, "bucket int, n double"), "n")[0])
     rated = narrow(labels, "doc_id", "reading_level").dropna().groupBy("doc_id").agg(F.avg("reading_level").alias("level"))
     rated = rated.orderBy(F.xxhash64("doc_id")).limit(LABELLED)
-    known = parsed.join(F.broadcast(rated), "doc_id").dropDuplicates(["doc_id"])
-    rows = [(Text(unpacked(r.buckets), r.kinds, tuple(r[n] for n in SHAPE)), float(r.level)) for r in known.toLocalIterator()]
-    if len({round(level) for _, level in rows}) < 2:
+    known = written(parsed.join(F.broadcast(rated), "doc_id").dropDuplicates(["doc_id"]))
+    about = known.agg(F.avg("level").alias("mean"), F.count_distinct(F.round("level")).alias("kinds")).first()
+    if about.kinds < 2:
         return None
-    texts, levels = [t for t, _ in rows], np.array([level for _, level in rows])
-    lexicon.grade(texts, levels)
-    return lexicon, Ordinal(lexicon.features(texts, levels), np.round(levels + 1e-9))
+    lexicon.grade(*by_bucket(known.select("buckets", "level").mapInArrow(_levels, "bucket int, s double, d double"), "s", "d"), about.mean)
+    sent = parsed.sparkSession.sparkContext.broadcast(lexicon)
+    columns = known.select("buckets", "kinds", *SHAPE, "level")
+    rows = columns.mapInArrow(functools.partial(_featured, sent=sent), f"level double, covered double, {', '.join(f'{n} double' for n in FEATURES)}").toArrow()
+    levels, covered, *features = (c.to_numpy() for c in rows.columns)
+    lexicon.foreign = min(FOREIGN, 0.5 * float(covered.min()))
+    order = np.lexsort([*features, levels])  # the same sums whatever the order of the rows
+    return lexicon, Ordinal(np.column_stack(features)[order], np.round(levels + 1e-9)[order])
 
 
 def reading_levels(documents: DataFrame, labels: DataFrame) -> DataFrame:
     """(doc_id, level) of every document in Latin script."""
     rows = narrow(documents, "doc_id", "text").where("doc_id is not null and text <> ''")
-    parsed = checkpoint(rows.mapInArrow(_parse, PARSED))
+    parsed = written(rows.mapInArrow(_parse, PARSED))
     fitted = fit(parsed, labels)
     if fitted is None:
         return documents.sparkSession.createDataFrame([], "doc_id bigint, level int")
