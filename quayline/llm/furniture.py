@@ -13,7 +13,6 @@ never furniture and stay.
 
 from __future__ import annotations
 
-import functools
 import re
 from collections.abc import Iterator
 
@@ -23,7 +22,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..session import checkpoint
+from ..session import written
 from . import screen
 from .arrow import batches, narrow
 
@@ -60,7 +59,7 @@ def furniture_lines(records: DataFrame, key: str, source: str, text: str, least:
     """(id, line_no) of each line that is furniture of its source."""
     rows = narrow(records, key, source, text).toDF("id", "source", "text").where("id is not null and source is not null")
     rows = rows.withColumn("id", F.col("id").cast("string")).withColumn("source", F.col("source").cast("string"))
-    lines = checkpoint(rows.where("text is not null").mapInArrow(_lines, "id string, source string, line_no int, line bigint").distinct())
+    lines = written(rows.where("text is not null").mapInArrow(_lines, "id string, source string, line_no int, line bigint").distinct())
     sizes = rows.select("source", "id").distinct().groupBy("source").agg(F.count("*").alias("documents"))
     counts = lines.select("source", "line", "id").distinct().groupBy("source", "line").agg(F.count("*").alias("n")).where(F.col("n") >= least)
     frequent = counts.join(sizes, "source").where(F.col("n") >= F.col("documents") * share - 1e-9).select("source", "line")
@@ -79,8 +78,12 @@ def _rebuild(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def without_furniture(records: DataFrame, key: str, source: str, text: str, **limits: float) -> DataFrame:
-    """(id, text): one row per document, its text without furniture lines; null texts stay null."""
+    """(id, text): each distinct text of a document without furniture lines; null texts stay null.
+
+    Texts are shuffled once, by id; copies are told by a hash of the text, and what is found joins the
+    rows where they are.
+    """
     found = furniture_lines(records, key, source, text, **limits).groupBy("id").agg(F.collect_set("line_no").alias("gone"))
-    rows = narrow(records, key, text).toDF("id", "text").where("id is not null")
-    rows = rows.withColumn("id", F.col("id").cast("string")).dropDuplicates(["id", "text"])
-    return rows.join(found, "id", "left").mapInArrow(functools.partial(_rebuild), "id string, text string")
+    rows = narrow(records, key, text).toDF("id", "text").where("id is not null").withColumn("id", F.col("id").cast("string"))
+    rows = rows.withColumn("hash", F.xxhash64("text", F.md5("text"))).repartition("id").dropDuplicates(["id", "hash"])
+    return rows.select("id", "text").join(found, "id", "left").mapInArrow(_rebuild, "id string, text string")
