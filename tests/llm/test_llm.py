@@ -316,6 +316,15 @@ def test_leaks_like_brute_force(spark):
     assert leaks.find_leaks(df.limit(0), bench).count() == 0 and leaks.find_leaks(df, bench.limit(0)).count() == 0
 
 
+def test_leaks_of_many_items(spark):
+    """Fifty thousand items, one read of the documents; a document quotes every hundredth of them."""
+    rng = random.Random(5)
+    items = [(k, " ".join(f"w{rng.randrange(5000)}" for _ in range(14))) for k in range(50_000)]
+    docs = [(k, f"đầu {items[k * 100][1]} cuối") for k in range(500)]
+    df, bench = spark.createDataFrame(docs, "doc_id bigint, text string"), spark.createDataFrame(items, "item_id int, text string")
+    assert found(leaks.find_leaks(df, bench)) == {(k, k * 100) for k in range(500)}
+
+
 def test_chance_of_a_miss():
     inside, total = 9, 22
     assert (1 - inside / total) ** leaks.functions(26) <= leaks.MISS and leaks.functions(13) == 1
@@ -334,6 +343,14 @@ def test_reading_level_on_held_out_documents(spark):
     assert np.mean([(a == 4) == (b == 4) for a, b in rated]) > 0.9
 
 
+def test_other_languages_in_latin_letters_have_no_level(spark):
+    documents, labels = (spark.read.parquet(f"/root/testdata/sf0.01/{n}.parquet") for n in ("documents", "labels"))
+    foreign = ["Le gouvernement a annoncé hier une réforme des retraites qui devrait entrer en vigueur l'année prochaine.", "Die Bundesregierung hat gestern ein neues Gesetz zur Förderung erneuerbarer Energien beschlossen.", "Pemerintah mengumumkan kebijakan baru untuk meningkatkan ekspor hasil pertanian pada tahun depan."]
+    more = spark.createDataFrame([(-1 - k, t) for k, t in enumerate(foreign)], "doc_id bigint, text string")
+    levels = {r.doc_id for r in reading.reading_levels(documents.select("doc_id", "text").unionByName(more), labels).collect()}
+    assert len(levels) == 877 and min(levels) >= 0
+
+
 def test_reading_odd_input(spark):
     rows = [(1, "Con mèo vui."), (2, "Phương sai có điều kiện của danh mục phái sinh."), (3, None), (4, ""), (5, "市场交投清淡"), (6, "... 🙂"), (1, "Con mèo vui."), (None, "x"), (7, LONG)]
     docs = spark.createDataFrame([(*r, 1) for r in rows], "doc_id bigint, text string, level int")
