@@ -1,10 +1,12 @@
 """Implausible values in series of measurements, flagged per source by a hidden Markov model.
 
-Each series (a ticker's closes, its volumes, the closes of one bar interval) has its usual move, its
-usual value and its share of repeats estimated over all its rows. A model with the states normal,
-spike, stuck and out of range then runs forward and backward over the series; hard bounds (the ratio
-that makes a spike, the length that makes a run, the row's own range) and the posterior of a state
-together assign the flag.
+Each series (a ticker's closes, its volumes, the closes of one bar interval) has its usual move or
+value (an exact median), the spread about it and its share of repeats taken from all its rows. A model
+with the states normal, spike, stuck and out of range then runs forward and backward over the series,
+its emissions scaled by what the series itself is like; hard bounds (the ratio that makes a spike, the
+length that makes a run, the row's own range) and the posterior of a state together assign the flag.
+A value out of range is a state of its own, entered from a moving or from a stuck series, and leaves
+the state before it as it was.
 
 A series is cut into blocks of time; each block gets the last and first valid values of its
 neighbours, as many as the longest required run. What is decided about a row therefore does not
@@ -27,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..session import columns
+from ..session import columns, written
 from .rolling import latest, present
 
 
@@ -37,10 +39,12 @@ class Limits:
 
     spike: float
     run: int
-    steep: float
 
 
-LIMITS = {"market_prices.close": Limits(7.0, 8, 4.0), "market_prices.volume": Limits(float(np.log(20.0)), 6, 400.0), "intraday_prices.close": Limits(7.0, 12, 4.0)}
+LIMITS = {"market_prices.close": Limits(7.0, 8), "market_prices.volume": Limits(float(np.log(20.0)), 6), "intraday_prices.close": Limits(7.0, 12)}
+#: Rows of a series up to which its median is taken from all values at once; of longer ones only those
+#: between two quantiles about the middle are gathered, so far apart in ranks as the sketch may err and more.
+GATHERED, SKETCH, MARGIN = 5000, 10_000, 4e-4
 #: Values of neighbouring blocks that a block gets to see on either side.
 HALO = 12
 #: Share of repeats from which a series counts as rarely moving.
@@ -50,35 +54,40 @@ CLEAR = 0.001
 BARS_PER_BLOCK = 1024
 #: Log probabilities of entering and leaving the stuck state; of a repeat in a moving series, at most.
 ENTER, LEAVE, REPEAT = np.log(0.01), np.log(0.05), 0.15
+#: How fast the density of spikes falls off, as a share of how fast that of ordinary values does.
+SLOWER = 0.1
 
 
 def posteriors(repeat: np.ndarray, excess: np.ndarray, out: np.ndarray, p0: np.ndarray, length: np.ndarray) -> np.ndarray:
-    """State posteriors of many sequences at once, (sequences, time, 4).
+    """State posteriors of many sequences at once, (sequences, time, 4): normal, spike, stuck, out of range.
 
-    repeat: equals the value before; excess: log odds of a spike against a normal value; out: cannot
-    be; p0: each sequence's share of repeats; length: how much of each row is used.
+    repeat: equals the valid value before; excess: log odds of a spike against a normal value; out: cannot
+    be; p0: each sequence's share of repeats; length: how much of each row is used. Out of range is two
+    states inside, one for moving and one for stuck series.
     """
     n, t = repeat.shape
     quiet = p0 >= QUIET
     p = np.where(quiet, np.minimum(p0, 0.99), np.clip(p0, 1e-3, REPEAT))[:, None]
     never = -1e9
-    emit = np.zeros((n, t, 4))
-    emit[..., 0] = np.where(repeat, np.log(p), np.log1p(-p)) - np.maximum(excess, 0)
-    emit[..., 1] = np.where(repeat, np.log(p), np.log1p(-p)) - np.maximum(-excess, 0)
-    emit[..., 2] = np.where(repeat, np.log(0.999), never)
-    emit[..., 3] = np.where(out, 0.0, never)
-    emit[..., :3] = np.where(out[..., None], never, emit[..., :3])
-    emit[..., 2] = np.where(quiet[:, None], never, emit[..., 2])
-    unused = np.arange(t)[None, :] >= length[:, None]
-    emit[unused] = 0.0
-    move = np.zeros((4, 4))
-    move[:, 2] = ENTER
-    move[2, :] = LEAVE
-    move[2, 2] = np.log1p(-np.exp(LEAVE))
+    emit = np.full((n, t, 5), never)
+    usual = np.where(repeat, np.log(p), np.log1p(-p))
+    emit[..., 0] = usual - np.logaddexp(0, excess)
+    emit[..., 1] = usual - np.logaddexp(0, -excess)
+    emit[..., 2] = np.where(repeat & ~quiet[:, None], np.log(0.999), never)
+    emit[out] = [never, never, never, 0.0, 0.0]
+    emit[np.arange(t)[None, :] >= length[:, None]] = 0.0
+    stay = np.log1p(-np.exp(LEAVE))
+    move = np.array([
+        [0, 0, ENTER, 0, never],
+        [0, 0, ENTER, 0, never],
+        [LEAVE, LEAVE, stay, never, 0],
+        [0, 0, ENTER, 0, never],
+        [LEAVE, LEAVE, stay, never, 0],
+    ])
     step = np.exp(move)
-    ahead, back = np.empty((n, t, 4)), np.ones((n, 4))
+    ahead, back = np.empty((n, t, 5)), np.ones((n, 5))
     like = np.exp(emit - emit.max(axis=2, keepdims=True))
-    state = np.full((n, 4), 1.0) * np.array([1.0, 1.0, np.exp(ENTER), 1.0])
+    state = np.full((n, 5), 1.0) * np.array([1.0, 1.0, np.exp(ENTER), 1.0, np.exp(ENTER)])
     for k in range(t):
         state = (state @ step if k else state) * like[:, k]
         state /= state.sum(axis=1, keepdims=True)
@@ -88,7 +97,8 @@ def posteriors(repeat: np.ndarray, excess: np.ndarray, out: np.ndarray, p0: np.n
         ahead[:, k] /= ahead[:, k].sum(axis=1, keepdims=True)
         back = (like[:, k] * back) @ step.T
         back /= back.sum(axis=1, keepdims=True)
-    return ahead
+    ahead[..., 3] += ahead[..., 4]
+    return ahead[..., :4]
 
 
 def _runs(same: np.ndarray) -> np.ndarray:
@@ -98,36 +108,40 @@ def _runs(same: np.ndarray) -> np.ndarray:
 
 
 class Sequence:
-    """One measure of one block with its halos, reduced to the valid values."""
+    """One measure of one block with its halos, nulls left out.
 
-    def __init__(self, measure: str, value: np.ndarray, out: np.ndarray, before: np.ndarray, after: np.ndarray, usual: float, p0: float) -> None:
+    Repeats, runs and moves are those of the valid values; what is out of range keeps its place.
+    """
+
+    def __init__(self, measure: str, value: np.ndarray, out: np.ndarray, before: np.ndarray, after: np.ndarray, usual: float, spread: float, p0: float) -> None:
         self.limits = LIMITS[measure]
-        self.own = np.flatnonzero(~np.isnan(value))
-        keep = self.own[~out[self.own]]
-        x = np.concatenate([before, value[keep], after])
-        self.same = np.concatenate([[False], x[1:] == x[:-1]]) if len(x) else np.empty(0, bool)
-        volume = measure.endswith("volume")
+        self.at, self.p0, self.start = np.flatnonzero(~np.isnan(value)), p0, len(before)
+        self.out = np.concatenate([np.zeros(len(before), bool), out[self.at], np.zeros(len(after), bool)])
+        own = np.concatenate([before, value[self.at], after])
+        valid, volume = ~self.out, measure.endswith("volume")
+        x = own[valid]
+        same = np.concatenate([[False], x[1:] == x[:-1]]) if len(x) else np.empty(0, bool)
         if volume:
-            self.same &= x > 0
-        self.run = _runs(self.same)
+            same &= x > 0
         ratio = np.zeros(len(x))
-        if volume:
-            if usual and usual > 0:
-                ratio = np.log(np.maximum(x, 1e-12) / usual)
+        if usual and usual > 0 and volume:
+            ratio = np.log(np.maximum(x, 1e-12) / usual)
         elif usual and usual > 0 and len(x) > 2:
             level = np.log(x)
             left, right = level[1:-1] - level[:-2], level[1:-1] - level[2:]
             ratio[1:-1] = np.where(left * right > 0, np.minimum(np.abs(left), np.abs(right)), 0.0) / usual
-        self.ratio = ratio
-        self.at, self.out, self.p0 = keep, np.flatnonzero(out), p0
-        self.start = len(before)
+        self.same, self.run, self.ratio = np.zeros(len(own), bool), np.zeros(len(own), int), np.zeros(len(own))
+        self.same[valid], self.run[valid], self.ratio[valid] = same, _runs(same), ratio
+        # ordinary values fall off as fast as this series' own do, spikes a good deal slower; even at the bound
+        slope = 1 / max(spread, 1e-3) if spread and spread > 0 else 1.0
+        self.excess = np.clip(slope * (1 - SLOWER) * (self.ratio - self.limits.spike), -600, 600)
 
     def flags(self, post: np.ndarray) -> np.ndarray:
         """Places in the block that are flagged."""
         stuck = (post[:, 2] >= 0.5) & self.same & (self.run >= self.limits.run)
         spike = (post[:, 1] >= 0.5) & (self.ratio > self.limits.spike)
-        bad = (stuck | spike)[self.start : self.start + len(self.at)]
-        return np.concatenate([self.at[bad], self.out])
+        bad = stuck | spike | ((post[:, 3] >= 0.5) & self.out)
+        return self.at[bad[self.start : self.start + len(self.at)]]
 
 
 def _flag(it: Iterator[pa.RecordBatch], close: str, volume: str | None) -> Iterator[pa.RecordBatch]:
@@ -140,27 +154,28 @@ def _flag(it: Iterator[pa.RecordBatch], close: str, volume: str | None) -> Itera
     for whole in it:
         for k in range(0, whole.num_rows, 256):
             batch = whole.slice(k, 256)
-            cols = {n: batch.column(batch.schema.get_field_index(n)).to_pylist() for n in ("ticker", "bar_interval", "usual", "repeats", "typical", "repeats_v")}
+            cols = {n: batch.column(batch.schema.get_field_index(n)).to_pylist() for n in ("ticker", "bar_interval", "usual", "spread", "repeats", "typical", "spread_v", "repeats_v")}
             lists = {n: arrays(batch, n) for n in ("ts", "close", "volume", "low", "high", "close_before", "close_after", "volume_before", "volume_after")}
             found: list[tuple[int, str, Sequence]] = []
             for row in range(batch.num_rows):
                 c, low, high = (lists[n][row].astype(float) for n in ("close", "low", "high"))
                 own = ~np.isnan(c)
                 out = own & ((c <= 0) | (c > high + CLEAR * np.abs(high)) | (c < low - CLEAR * np.abs(low)))
-                found.append((row, close, Sequence(close, c, out, lists["close_before"][row].astype(float), lists["close_after"][row].astype(float), cols["usual"][row], cols["repeats"][row] or 0.0)))
+                found.append((row, close, Sequence(close, c, out, lists["close_before"][row].astype(float), lists["close_after"][row].astype(float), cols["usual"][row], cols["spread"][row], cols["repeats"][row] or 0.0)))
                 if volume:
                     v = lists["volume"][row].astype(float)
-                    found.append((row, volume, Sequence(volume, v, v < 0, lists["volume_before"][row].astype(float), lists["volume_after"][row].astype(float), cols["typical"][row], cols["repeats_v"][row] or 0.0)))
+                    found.append((row, volume, Sequence(volume, v, v < 0, lists["volume_before"][row].astype(float), lists["volume_after"][row].astype(float), cols["typical"][row], cols["spread_v"][row], cols["repeats_v"][row] or 0.0)))
             found.sort(key=lambda x: len(x[2].same))
             tickers, intervals, times, measures = [], [], [], []
             for k2 in range(0, len(found), 64):
                 part = found[k2 : k2 + 64]
                 t = max(1, max(len(s.same) for _, _, s in part))
-                repeat, excess = np.zeros((len(part), t), bool), np.zeros((len(part), t))
+                repeat, excess, out = np.zeros((len(part), t), bool), np.zeros((len(part), t)), np.zeros((len(part), t), bool)
                 for r, (_, _, s) in enumerate(part):
                     repeat[r, : len(s.same)] = s.same
-                    excess[r, : len(s.same)] = np.clip(s.limits.steep * (s.ratio - s.limits.spike), -600, 600)
-                post = posteriors(repeat, excess, np.zeros((len(part), t), bool), np.array([s.p0 for _, _, s in part]), np.array([len(s.same) for _, _, s in part]))
+                    excess[r, : len(s.same)] = s.excess
+                    out[r, : len(s.same)] = s.out
+                post = posteriors(repeat, excess, out, np.array([s.p0 for _, _, s in part]), np.array([len(s.same) for _, _, s in part]))
                 for r, (row, measure, s) in enumerate(part):
                     for place in s.flags(post[r, : len(s.same)]):
                         tickers.append(cols["ticker"][row])
@@ -170,6 +185,52 @@ def _flag(it: Iterator[pa.RecordBatch], close: str, volume: str | None) -> Itera
             yield pa.RecordBatch.from_arrays([pa.array(measures, pa.string()), pa.array(tickers, pa.string()), pa.array(intervals, pa.string()), pa.array(times, pa.int64())], ["measure", "ticker", "bar_interval", "ts"])
 
 
+def _middle(inside: Column, below: Column, n: Column) -> Column:
+    """The exact median, from the sorted values between the ends and the number of those below."""
+    at = lambda k: F.get(inside, (k - below).cast("int"))
+    return (at(F.floor((n - 1) / 2)) + at(F.floor(n / 2))) / 2
+
+
+def medians(values: DataFrame, series: list[str], name: str) -> DataFrame:
+    """(series, n, median) of a column, exact, without gathering a long series.
+
+    A sketch gives two values between which the middle surely lies; those between are sorted, those
+    below only counted. Nulls do not count; a series without values has a null median.
+    """
+    x = F.col(name)
+    rows = values.where(x.isNotNull())
+    ends = rows.groupBy(*series).agg(F.count("*").alias("n"), F.percentile_approx(name, F.array(F.lit(0.5 - MARGIN), F.lit(0.5 + MARGIN)), SKETCH).alias("ends"))
+    ends = ends.select(*series, "n", *[F.when(F.col("n") > GATHERED, F.col("ends")[k]).alias(end) for k, end in enumerate(("low", "high"))])
+    low, high = F.coalesce(x < F.col("low"), F.lit(False)), F.coalesce(x > F.col("high"), F.lit(False))
+    parts = rows.join(ends, series).groupBy(*series).agg(F.first("n").alias("n"), F.count_if(low).alias("below"), F.array_sort(F.collect_list(F.when(~low & ~high, x))).alias("inside"))
+    return parts.select(*series, "n", _middle(F.col("inside"), F.col("below"), F.col("n")).alias("median"))
+
+
+def statistics(blocks: DataFrame, series: list[str]) -> DataFrame:
+    """Per series the median move and volume, the mean spread about them and the shares of repeats.
+
+    A block brings its own values and the last one before it, so that every move of the series counts.
+    """
+    def steps(m: str, valid: str) -> Column:
+        x = F.concat(F.slice(F.reverse(f"{m}_before"), 1, 1), valid)
+        return F.zip_with(x, F.slice(x, 2, F.greatest(F.size(x) - 1, F.lit(0))), lambda a, b: F.struct(a.alias("a"), b.alias("b")))
+
+    pairs = lambda m, valid: blocks.select(*series, F.explode(F.filter(steps(m, valid), lambda s: s.b.isNotNull())).alias("s")).select(*series, "s.a", "s.b")
+    close = pairs("close", "valid_c").select(*series, F.abs(F.ln(F.col("b") / F.col("a"))).alias("move"), (F.col("a") == F.col("b")).cast("double").alias("same"))
+    moves = close.where("move > 0")
+    usual = medians(moves, series, "move")
+    volume = blocks.select(*series, F.explode("volume").alias("volume")).select(*series, F.col("volume").cast("double").alias("volume"))
+    typical = medians(volume, series, "volume")
+    spread = moves.groupBy(*series).agg(F.avg("move").alias("mean_move"))
+    levels = volume.where("volume > 0").groupBy(*series).agg(F.stddev_pop(F.ln("volume")).alias("spread_v"))
+    repeats = close.groupBy(*series).agg(F.avg("same").alias("repeats"))
+    repeats_v = pairs("volume", "valid_v").groupBy(*series).agg(F.avg(((F.col("a") == F.col("b")) & (F.col("b") > 0)).cast("double")).alias("repeats_v"))
+    out = blocks.select(*series).distinct()
+    for part in (usual.select(*series, (F.col("median") * 1.4826).alias("usual")), spread, repeats, typical.select(*series, F.col("median").alias("typical")), levels, repeats_v):
+        out = out.join(part, series, "left")
+    return out.withColumn("spread", F.try_divide("mean_move", "usual")).drop("mean_move")
+
+
 def flag_series(rows: DataFrame, updated: str, close: str, volume: str | None, block_us: Column, interval: str | None = None) -> DataFrame:
     """(measure, ticker, bar_interval, ts) of flagged values.
 
@@ -184,15 +245,6 @@ def flag_series(rows: DataFrame, updated: str, close: str, volume: str | None, b
     kept = latest(blocks, [*series, "block", "ts"], updated, ["close", "volume", "low", "high"])
     fits = (F.col("close") > 0) & F.coalesce(F.col("close") <= F.col("high") + CLEAR * F.abs("high"), F.lit(True)) & F.coalesce(F.col("close") >= F.col("low") - CLEAR * F.abs("low"), F.lit(True))
     kept = kept.withColumn("c", F.when(fits, F.col("close"))).withColumn("v", F.when(F.col("volume") >= 0, F.col("volume").cast("double")))
-    past = Window.partitionBy(*series, "block").orderBy("ts").rowsBetween(Window.unboundedPreceding, -1)
-    moved = kept.withColumn("c0", F.last("c", True).over(past)).withColumn("v0", F.last("v", True).over(past))
-    move = F.abs(F.ln(F.col("c") / F.col("c0")))
-    stats = moved.groupBy(*series).agg(
-        (F.percentile_approx(F.when(move > 0, move), 0.5, 5000) * 1.4826).alias("usual"),
-        F.avg((F.col("c") == F.col("c0")).cast("double")).alias("repeats"),
-        F.percentile_approx(F.col("volume").cast("double"), 0.5, 5000).alias("typical"),
-        F.avg(((F.col("v") == F.col("v0")) & (F.col("v") > 0)).cast("double")).alias("repeats_v"),
-    )
     whole = kept.groupBy(*series, "block").agg(F.array_sort(F.collect_list(F.struct("ts", "close", "volume", "low", "high", "c", "v"))).alias("r"))
     names = ["ts", "close", "volume", "low", "high"]
     valid = [F.filter(F.col(f"r.{n}"), lambda x: x.isNotNull()).alias(f"valid_{n}") for n in ("c", "v")]
@@ -207,7 +259,8 @@ def flag_series(rows: DataFrame, updated: str, close: str, volume: str | None, b
         *[F.slice(F.flatten(F.collect_list(f"head_{n}").over(after)), 1, HALO).alias(f"{m}_after") for n, m in (("c", "close"), ("v", "volume"))],
     )
     # sizes of rows with arrays are guessed too low to leave the choice of the join to the planner
-    ready = whole.select(*series, "block", *names).join(ends.hint("merge"), [*series, "block"]).join(stats, series)
+    ready = written(whole.select(*series, "block", *names, "valid_c", "valid_v").join(ends.hint("merge"), [*series, "block"]))
+    ready = ready.drop("valid_c", "valid_v").join(statistics(ready, series), series)
     ready = ready.withColumn("bar_interval", F.lit(interval)) if interval else ready
     return ready.mapInArrow(functools.partial(_flag, close=close, volume=volume), "measure string, ticker string, bar_interval string, ts bigint").distinct()
 

@@ -122,3 +122,24 @@ def test_blocks_do_not_matter(spark):
 def test_posteriors_add_up():
     post = posteriors(np.array([[False, True, True, False]]), np.array([[-28.0, -28.0, -28.0, 9.0]]), np.zeros((1, 4), bool), np.array([0.01]), np.array([4]))
     assert np.allclose(post.sum(axis=2), 1) and post[0, 3, 1] > 0.99
+
+
+def test_out_of_range_is_a_state(spark):
+    """Such a value is told by its own state, and a stuck run goes on after it."""
+    repeat = np.array([[False] + [True] * 6 + [False] + [True] * 3 + [False] * 3])
+    out = np.zeros_like(repeat)
+    out[0, 7] = True
+    post = posteriors(repeat, np.full(repeat.shape, -5.0), out, np.array([0.01]), np.array([repeat.shape[1]]))
+    assert post[0, 7, 3] > 0.999 and (post[0, 1:7, 2] > 0.9).all() and (post[0, 8:11, 2] > 0.9).all()
+    assert (post[0, [0, 11, 12, 13], 0] > 0.9).all() and post[0, :7, 3].max() < 1e-6
+
+
+def test_medians_are_exact(spark, monkeypatch):
+    from quayline.operators import spikes
+
+    monkeypatch.setattr(spikes, "GATHERED", 3)
+    rng = np.random.default_rng(6)
+    series = {"a": rng.normal(size=30_001), "b": np.round(rng.normal(size=20_000), 1), "c": rng.normal(size=4), "d": np.array([2.0]), "e": np.repeat([1.0, 2.0], 500)}
+    rows = spark.createDataFrame([(k, float(x)) for k, v in series.items() for x in v] + [("a", None), ("f", None)], "k string, x double")
+    got = {r.k: (r.n, r.median) for r in spikes.medians(rows, ["k"], "x").collect()}
+    assert got == {k: (len(v), float(np.median(v))) for k, v in series.items()}
