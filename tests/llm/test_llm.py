@@ -57,20 +57,14 @@ def test_same_on_screen(spark):
 
 def units(text, model=None):
     out, done = [], 0
-    for end in sentences.ends(text, model or sentences.Model({}, {})):
+    for end in sentences.ends(text, model or sentences.learn([])):
         out.append(text[done:end].strip())
         done = end
     return out
 
 
 def trained(*texts):
-    counts = Counter()
-    for t in texts:
-        sentences.count(t, counts)
-    totals = Counter()
-    for (kind, _), n in counts.items():
-        totals[kind] += n
-    return sentences.Model(counts, totals)
+    return sentences.learn(list(texts))
 
 
 @pytest.mark.parametrize(
@@ -95,12 +89,12 @@ def test_units(expected):
 
 def test_units_at_lines_and_without_blanks():
     assert units("Tiêu đề\n\n Câu một dài.Câu hai dài.\r\n") == ["Tiêu đề", "Câu một dài.", "Câu hai dài."]
-    assert sentences.ends(None, None) == [] and sentences.ends("", None) == [] and units(" \n​\n ") == []
+    assert sentences.ends(None, sentences.learn([])) == [] and sentences.ends("", sentences.learn([])) == [] and units(" \n​\n ") == []
 
 
 def test_positions_count_invisible_characters():
     text = "A​b­c dài.  Câu hai.​"
-    assert [text[e - 1] for e in sentences.ends(text, sentences.Model({}, {}))] == [".", "."]
+    assert [text[e - 1] for e in sentences.ends(text, sentences.learn([]))] == [".", "."]
 
 
 def test_abbreviations_are_learned():
@@ -109,6 +103,31 @@ def test_abbreviations_are_learned():
     assert units("Ở TP. Lạc Viên có kho, xe, v.v. Ngày mai họp.", model) == ["Ở TP. Lạc Viên có kho, xe, v.v.", "Ngày mai họp."]
 
 
+@pytest.mark.parametrize(
+    "expected",
+    [
+        ["ខ្ញុំទៅផ្សារ។", "គាត់នៅផ្ទះ។"],
+        ["ຂ້ອຍໄປຕະຫຼາດ", "ລາວຢູ່ເຮືອນ"],
+        ["ကျွန်တော်ဈေးသွားတယ်။", "သူအိမ်မှာရှိတယ်။"],
+        ["ወደ ገበያ ሄድኩ።", "እሱ ቤት ነው።"],
+        ["میں بازار گیا۔", "وہ گھر پر ہے۔"],
+        ["Ես գնացի շուկա։", "Նա տանն է։"],
+        ["ང་ཁྲོམ་ལ་ཕྱིན།", "ཁོ་ཁྱིམ་ལ་འདུག།"],
+        ["मैं बाज़ार गया।", "वह घर पर है।"],
+    ],
+)
+def test_units_of_other_scripts(expected):
+    assert units(" ".join(expected)) == expected
+
+
+def test_two_words_back_off_to_one():
+    """The same word before a mark ends sentences after one word and none after another."""
+    lines = [f"Dòng {k} kể về kho số hai.\nHọ ở nhà số. Mười {k} xe." for k in range(40)] + [f"Bài {k} nói đủ con số." for k in range(40)]
+    model = trained(*lines)
+    assert units("Tôi thấy con số. Mười người.", model) == ["Tôi thấy con số.", "Mười người."]
+    assert units("Tôi ở nhà số. Mười người.", model) == ["Tôi ở nhà số. Mười người."]
+
+
 def test_sentence_query(spark):
     rows = [("a", "Một câu. Hai câu.", None), ("a", "Một câu. Hai câu.", None), ("b", "", " "), ("c", None, LONG), (None, "x", "y")]
     df = spark.createDataFrame([(*r, "z") for r in rows], "id string, content string, sapo string, Content2 string")
