@@ -191,44 +191,42 @@ def _middle(inside: Column, below: Column, n: Column) -> Column:
     return (at(F.floor((n - 1) / 2)) + at(F.floor(n / 2))) / 2
 
 
-def medians(values: DataFrame, series: list[str], name: str) -> DataFrame:
-    """(series, n, median) of a column, exact, without gathering a long series.
+def medians(values: DataFrame, series: list[str], name: str, **besides: Column) -> DataFrame:
+    """(series, n, median) of a column, exact, without gathering a long series; and other aggregates of all rows.
 
     A sketch gives two values between which the middle surely lies; those between are sorted, those
     below only counted. Nulls do not count; a series without values has a null median.
     """
     x = F.col(name)
-    rows = values.where(x.isNotNull())
-    ends = rows.groupBy(*series).agg(F.count("*").alias("n"), F.percentile_approx(name, F.array(F.lit(0.5 - MARGIN), F.lit(0.5 + MARGIN)), SKETCH).alias("ends"))
-    ends = ends.select(*series, "n", *[F.when(F.col("n") > GATHERED, F.col("ends")[k]).alias(end) for k, end in enumerate(("low", "high"))])
+    ends = values.groupBy(*series).agg(F.count(name).alias("n"), F.percentile_approx(name, F.array(F.lit(0.5 - MARGIN), F.lit(0.5 + MARGIN)), SKETCH).alias("ends"), *[c.alias(k) for k, c in besides.items()])
+    ends = ends.select(*series, "n", *besides, *[F.when(F.col("n") > GATHERED, F.col("ends")[k]).alias(end) for k, end in enumerate(("low", "high"))])
     low, high = F.coalesce(x < F.col("low"), F.lit(False)), F.coalesce(x > F.col("high"), F.lit(False))
-    parts = rows.join(ends, series).groupBy(*series).agg(F.first("n").alias("n"), F.count_if(low).alias("below"), F.array_sort(F.collect_list(F.when(~low & ~high, x))).alias("inside"))
-    return parts.select(*series, "n", _middle(F.col("inside"), F.col("below"), F.col("n")).alias("median"))
+    parts = values.where(x.isNotNull()).join(ends.select(*series, "low", "high"), series).groupBy(*series).agg(F.count_if(low).alias("below"), F.array_sort(F.collect_list(F.when(~low & ~high, x))).alias("inside"))
+    return ends.join(parts, series, "left").select(*series, "n", _middle(F.col("inside"), F.col("below"), F.col("n")).alias("median"), *besides)
 
 
-def statistics(blocks: DataFrame, series: list[str]) -> DataFrame:
-    """Per series the median move and volume, the mean spread about them and the shares of repeats.
+def statistics(blocks: DataFrame, series: list[str], volumes: bool) -> DataFrame:
+    """Per series the median move and volume, the spread about them and the shares of repeats.
 
     A block brings its own values and the last one before it, so that every move of the series counts.
     """
-    def steps(m: str, valid: str) -> Column:
+    def pairs(m: str, valid: str) -> DataFrame:
         x = F.concat(F.slice(F.reverse(f"{m}_before"), 1, 1), valid)
-        return F.zip_with(x, F.slice(x, 2, F.greatest(F.size(x) - 1, F.lit(0))), lambda a, b: F.struct(a.alias("a"), b.alias("b")))
-
-    pairs = lambda m, valid: blocks.select(*series, F.explode(F.filter(steps(m, valid), lambda s: s.b.isNotNull())).alias("s")).select(*series, "s.a", "s.b")
-    close = pairs("close", "valid_c").select(*series, F.abs(F.ln(F.col("b") / F.col("a"))).alias("move"), (F.col("a") == F.col("b")).cast("double").alias("same"))
-    moves = close.where("move > 0")
-    usual = medians(moves, series, "move")
+        steps = F.zip_with(x, F.slice(x, 2, F.greatest(F.size(x) - 1, F.lit(0))), lambda a, b: F.struct(a.alias("a"), b.alias("b")))
+        return blocks.select(*series, F.explode(F.filter(steps, lambda s: s.b.isNotNull())).alias("s")).select(*series, "s.a", "s.b")
+
+    same = F.col("a") == F.col("b")
+    close = pairs("close", "valid_c").select(*series, F.when(same, 1.0).otherwise(0.0).alias("same"), F.when(~same, F.abs(F.ln(F.col("b") / F.col("a")))).alias("move"))
+    usual = medians(close, series, "move", repeats=F.avg("same"), mean=F.avg("move"))
+    out = usual.select(*series, (F.col("median") * 1.4826).alias("usual"), "repeats", F.try_divide("mean", F.col("median") * 1.4826).alias("spread"))
+    nothing = [F.lit(None).cast("double").alias(n) for n in ("typical", "spread_v", "repeats_v")]
+    if not volumes:
+        return out.select("*", *nothing)
     volume = blocks.select(*series, F.explode("volume").alias("volume")).select(*series, F.col("volume").cast("double").alias("volume"))
-    typical = medians(volume, series, "volume")
-    spread = moves.groupBy(*series).agg(F.avg("move").alias("mean_move"))
-    levels = volume.where("volume > 0").groupBy(*series).agg(F.stddev_pop(F.ln("volume")).alias("spread_v"))
-    repeats = close.groupBy(*series).agg(F.avg("same").alias("repeats"))
-    repeats_v = pairs("volume", "valid_v").groupBy(*series).agg(F.avg(((F.col("a") == F.col("b")) & (F.col("b") > 0)).cast("double")).alias("repeats_v"))
-    out = blocks.select(*series).distinct()
-    for part in (usual.select(*series, (F.col("median") * 1.4826).alias("usual")), spread, repeats, typical.select(*series, F.col("median").alias("typical")), levels, repeats_v):
-        out = out.join(part, series, "left")
-    return out.withColumn("spread", F.try_divide("mean_move", "usual")).drop("mean_move")
+    typical = medians(volume, series, "volume", spread_v=F.stddev_pop(F.when(F.col("volume") > 0, F.ln("volume"))))
+    repeats_v = pairs("volume", "valid_v").groupBy(*series).agg(F.avg((same & (F.col("b") > 0)).cast("double")).alias("repeats_v"))
+    typical = typical.select(*series, F.col("median").alias("typical"), "spread_v").join(repeats_v, series, "left")
+    return out.join(typical, series, "full")
 
 
 def flag_series(rows: DataFrame, updated: str, close: str, volume: str | None, block_us: Column, interval: str | None = None) -> DataFrame:
@@ -260,7 +258,7 @@ def flag_series(rows: DataFrame, updated: str, close: str, volume: str | None, b
     )
     # sizes of rows with arrays are guessed too low to leave the choice of the join to the planner
     ready = written(whole.select(*series, "block", *names, "valid_c", "valid_v").join(ends.hint("merge"), [*series, "block"]))
-    ready = ready.drop("valid_c", "valid_v").join(statistics(ready, series), series)
+    ready = ready.drop("valid_c", "valid_v").join(statistics(ready, series, volume is not None), series, "left")
     ready = ready.withColumn("bar_interval", F.lit(interval)) if interval else ready
     return ready.mapInArrow(functools.partial(_flag, close=close, volume=volume), "measure string, ticker string, bar_interval string, ts bigint").distinct()
 
