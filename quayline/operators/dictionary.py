@@ -7,13 +7,18 @@ bounded size.
 
 from __future__ import annotations
 
+import functools
+import itertools
 import re
 import unicodedata
-from collections.abc import Iterator
+import uuid
+from collections.abc import Callable, Iterator
+from typing import ClassVar
 
 import ahocorasick
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import functions as F
 
 #: Aliases in one pass over the texts.
 BLOCK = 50_000
@@ -49,6 +54,22 @@ def _blocks(aliases: DataFrame) -> Iterator[list[tuple]]:
     yield block
 
 
+class _Held:
+    """A block of aliases on its way to the tasks; what searches for them is made once a worker."""
+
+    made: ClassVar[dict[str, object]] = {}
+
+    def __init__(self, spark: SparkSession, rows: list[tuple], make: type) -> None:
+        self.sent, self.make, self.key = spark.sparkContext.broadcast(rows), make, uuid.uuid4().hex
+
+    def value(self):
+        if self.key not in self.made:
+            if len(self.made) > 3:
+                self.made.clear()
+            self.made[self.key] = self.make(self.sent.value)
+        return self.made[self.key]
+
+
 class Detector:
     """Tickers that a text mentions, with the best weight of the aliases found."""
 
@@ -88,10 +109,10 @@ def detected_tickers(texts: DataFrame, aliases: DataFrame) -> DataFrame:
     """(id, ticker, weight) of texts (id, text); null texts mention nothing."""
     out = None
     for rows in _blocks(aliases):
-        sent = texts.sparkSession.sparkContext.broadcast(rows)
+        held = _Held(texts.sparkSession, rows, Detector)
 
-        def run(it: Iterator[pa.RecordBatch], sent=sent) -> Iterator[pa.RecordBatch]:
-            detector = Detector(sent.value)
+        def run(it: Iterator[pa.RecordBatch], held=held) -> Iterator[pa.RecordBatch]:
+            detector = held.value()
             for batch in it:
                 found = [(k, t, w) for k, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()) if text for t, w in detector.detect(text).items()]
                 yield pa.RecordBatch.from_arrays([pa.array([f[0] for f in found], pa.string()), pa.array([f[1] for f in found], pa.string()), pa.array([f[2] for f in found], pa.float64())], ["id", "ticker", "weight"])
@@ -160,16 +181,54 @@ def contexts(sentences: list[str], linker: Linker, restrict: set[str], window: i
     return list(rows.values())
 
 
+_MENTIONS = "article_id string, sentence_index int, start int, ticker string, entity_text string, alias string, alias_type string, alias_weight double, context string, own boolean"
+
+
+def _batch(rows: list[tuple], schema: str) -> pa.RecordBatch:
+    kinds = {"string": pa.string(), "double": pa.float64(), "int": pa.int32(), "boolean": pa.bool_()}
+    fields = [f.split() for f in schema.split(", ")]
+    return pa.RecordBatch.from_arrays([pa.array([r[k] for r in rows], kinds[kind]) for k, (_, kind) in enumerate(fields)], [name for name, _ in fields])
+
+
 def linked_entities(articles: DataFrame, aliases: DataFrame) -> DataFrame:
-    """Entity rows of articles (article_id, sentences, detected_tickers)."""
-    blocks = list(_blocks(aliases))
-    sent = articles.sparkSession.sparkContext.broadcast([r for b in blocks for r in b])
+    """Entity rows of articles (article_id, sentences, detected_tickers); one row per article is taken for granted.
+
+    Aliases of one block are decided upon where the text is; of several, the mentions of all blocks are
+    brought together by article before the rule of the two passes is applied.
+    """
+    rows = articles.select("article_id", "sentences", "detected_tickers")
+    blocks = _blocks(aliases)
+    first, second = next(blocks), next(blocks, None)
+    if not second:
+        held = _Held(articles.sparkSession, first, Linker)
+
+        def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            linker = held.value()
+            for batch in it:
+                yield _batch([(a, *row) for a, s, t in zip(*(c.to_pylist() for c in batch.columns)) for row in contexts(s or [], linker, set(t or []))], SCHEMA)
 
+        return rows.mapInArrow(run, SCHEMA)
+    parts = [rows.mapInArrow(_mentions(_Held(articles.sparkSession, block, Linker)), _MENTIONS) for block in itertools.chain([first, second], blocks)]
+    found = functools.reduce(DataFrame.unionByName, parts)
+    any_own = F.max("own").over(Window.partitionBy("article_id"))
+    chosen = found.withColumn("any_own", any_own).where("own or not any_own")
+    # of several aliases in a sentence the shortest, as in ``contexts``
+    best = chosen.groupBy("article_id", "ticker", "sentence_index").agg(F.max(F.struct(-F.length("alias"), "alias", "start", "entity_text", "alias_type", "alias_weight", "context")).alias("b"))
+    short = F.when(F.length("b.context") < 80, 0.7).otherwise(1.0)
+    weight = F.bround(F.least(F.greatest(F.col("b.alias_weight") * short, F.lit(0.1)), F.lit(1.0)), 3)
+    return best.select("article_id", "ticker", "b.entity_text", "b.alias_type", "b.alias_weight", "sentence_index", "b.context", weight.alias("relevance_weight"))
+
+
+def _mentions(held: _Held, window: int = 1) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        linker = Linker(sent.value)
-        schema = pa.schema([("article_id", pa.string()), ("ticker", pa.string()), ("entity_text", pa.string()), ("alias_type", pa.string()), ("alias_weight", pa.float64()), ("sentence_index", pa.int32()), ("context", pa.string()), ("relevance_weight", pa.float64())])
+        linker = held.value()
         for batch in it:
-            rows = [(a, *row) for a, s, t in zip(*(c.to_pylist() for c in batch.columns)) for row in contexts(s or [], linker, set(t or []))]
-            yield pa.RecordBatch.from_arrays([pa.array([r[k] for r in rows], f.type) for k, f in enumerate(schema)], schema=schema)
-
-    return articles.select("article_id", "sentences", "detected_tickers").mapInArrow(run, SCHEMA)
+            out = []
+            for article, sentences, tickers in zip(*(c.to_pylist() for c in batch.columns)):
+                for k, sentence in enumerate(sentences or []):
+                    found = linker.mentions(sentence)
+                    context = " ".join(sentences[max(0, k - window) : k + window + 1]) if found else ""
+                    out += [(article, k, start, ticker, text, alias, kind, weight, context, ticker in (tickers or [])) for start, ticker, text, alias, kind, weight in found]
+            yield _batch(out, _MENTIONS)
+
+    return run

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.ml import Pipeline
 from pyspark.ml.classification import GBTClassifier, LogisticRegression, RandomForestClassifier
 from pyspark.ml.evaluation import BinaryClassificationEvaluator
@@ -25,6 +27,15 @@ def chronological_split(data: DataFrame, ratio: float = 0.7, horizon: int = 1) -
     return usable.where(F.col("_k") < max(0, cut - horizon)).drop("_k"), usable.where(F.col("_k") >= cut).drop("_k")
 
 
+#: Rows of one partition of what a learner reads again and again; few rows in many tasks cost more than they save.
+ROWS = 50_000
+
+
+def laid_out(rows: DataFrame) -> DataFrame:
+    """The rows in memory, in partitions of ``ROWS``."""
+    return rows.repartition(max(1, math.ceil(rows.count() / ROWS))).cache()
+
+
 def balanced(train: DataFrame, label: str = "target_up") -> DataFrame:
     """Adds ``weight``: rows over classes times the rows of the class."""
     counts = {r[label]: r["n"] for r in train.groupBy(label).agg(F.count("*").alias("n")).collect()}
@@ -53,9 +64,9 @@ def classify(train: DataFrame, test: DataFrame, features: list[str], seed: int =
     both = [{r[0] for r in df.select("target_up").distinct().collect()} for df in (train, test)]
     if any(len(b) < 2 for b in both):
         return {}
-    weighted = balanced(train).cache()
+    weighted = balanced(train)
     ready = Pipeline(stages=_prepared(features)).fit(weighted)
-    fit, ask = ready.transform(weighted), ready.transform(test)
+    fit, ask = laid_out(ready.transform(weighted).select("scaled", "target_up", "weight")), ready.transform(test)
     out = {}
     for name, model in _classifiers(seed, trees, rounds).items():
         predicted = model.fit(fit).transform(ask)
@@ -68,7 +79,7 @@ def classify(train: DataFrame, test: DataFrame, features: list[str], seed: int =
 def regress(train: DataFrame, test: DataFrame, features: list[str], target: str = "target_return", seed: int = 42, trees: int = 300, rounds: int = 150) -> dict[str, DataFrame]:
     """Predictions (ticker, date, target, prediction) of each regressor."""
     ready = Pipeline(stages=_prepared(features)).fit(train)
-    fit, ask = ready.transform(train).cache(), ready.transform(test)
+    fit, ask = laid_out(ready.transform(train).select("scaled", target)), ready.transform(test)
     common = {"featuresCol": "scaled", "labelCol": target}
     models = {
         "linear": LinearRegression(**common),

@@ -12,7 +12,7 @@ from ..operators.analog import analog_forecasts
 from ..operators.features import by_day, price_features
 from ..operators.granger import granger_by_ticker, var_by_ticker
 from ..operators.inference import predict
-from ..operators.learning import chronological_split, class_metrics, classify, regress, value_metrics
+from ..operators.learning import chronological_split, class_metrics, classify, laid_out, regress, value_metrics
 from ..operators.windows import rolling_past
 from ..session import table
 from . import base
@@ -66,14 +66,14 @@ def dataset(spark: SparkSession, sf_dir: str, size: int = 10) -> tuple[DataFrame
 
 def mle_02_classifiers(spark: SparkSession, sf_dir: str) -> DataFrame:
     data, plain, full = dataset(spark, sf_dir)
-    train, test = (df.cache() for df in chronological_split(data))
+    train, test = map(laid_out, chronological_split(data.cache()))
     parts = [class_metrics(p).select(F.lit(kind).alias("feature_set"), F.lit(name).alias("model"), "*") for kind, cols in (("price", plain), ("price_sentiment", full)) for name, p in classify(train, test, cols).items()]
     return reduce(DataFrame.unionByName, parts) if parts else spark.createDataFrame([], "feature_set string, model string, n_test bigint, accuracy double, precision double, recall double, f1 double, auc double")
 
 
 def mle_03_regressors(spark: SparkSession, sf_dir: str) -> DataFrame:
     data, _, full = dataset(spark, sf_dir)
-    train, test = (df.cache() for df in chronological_split(data))
+    train, test = map(laid_out, chronological_split(data.cache()))
     return reduce(DataFrame.unionByName, [value_metrics(p).select(F.lit(name).alias("model"), "*") for name, p in regress(train, test, full).items()])
 
 

@@ -9,7 +9,9 @@ from pyspark.sql import functions as F
 
 from ..functions.stats import safe_corr, t_p_value, t_statistic
 from ..operators.features import by_day, price_features
+from ..operators.spikes import medians
 from ..operators.windows import encoded_windows, forward_sum, lag_matrix, rolling_past, running_path, shifted
+from ..session import written
 from . import base
 from .base import r6, sql_r6
 from .panel import _FEATS, PANEL_SQL, panel
@@ -72,10 +74,11 @@ def _melted(spark: SparkSession, sf_dir: str) -> DataFrame:
 def sta_09_event_study(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Events summed up by group; the t-test is over the means of the tickers, as their events overlap."""
     keys = ["sentiment_group", "metric"]
-    by_ticker = _melted(spark, sf_dir).groupBy(*keys, "ticker").agg(F.avg("value").alias("m"))
+    melted = written(_melted(spark, sf_dir))
+    by_ticker = melted.groupBy(*keys, "ticker").agg(F.avg("value").alias("m"))
     tests = by_ticker.groupBy(*keys).agg(F.count("*").alias("n_tickers"), t_statistic("m").alias("t"))
-    sums = _melted(spark, sf_dir).groupBy(*keys).agg(F.count("*").alias("n"), r6(F.avg("value")).alias("mean"), r6(F.median("value")).alias("median"), r6(F.stddev_samp("value")).alias("std"))
-    return sums.join(tests, keys).select(*keys, "n", "n_tickers", "mean", "median", "std", F.round("t", 4).alias("t_stat"))
+    sums = medians(melted, keys, "value", mean=F.avg("value"), std=F.stddev_samp("value"))
+    return sums.join(tests, keys).select(*keys, "n", "n_tickers", *[r6(c).alias(c) for c in ("mean", "median", "std")], F.round("t", 4).alias("t_stat"))
 
 
 def agg_32_event_summary_by_ticker(spark: SparkSession, sf_dir: str) -> DataFrame:

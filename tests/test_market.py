@@ -142,4 +142,4 @@ def test_medians_are_exact(spark, monkeypatch):
     series = {"a": rng.normal(size=30_001), "b": np.round(rng.normal(size=20_000), 1), "c": rng.normal(size=4), "d": np.array([2.0]), "e": np.repeat([1.0, 2.0], 500)}
     rows = spark.createDataFrame([(k, float(x)) for k, v in series.items() for x in v] + [("a", None), ("f", None)], "k string, x double")
     got = {r.k: (r.n, r.median) for r in spikes.medians(rows, ["k"], "x").collect()}
-    assert got == {k: (len(v), float(np.median(v))) for k, v in series.items()}
+    assert got == {k: (len(v), float(np.median(v))) for k, v in series.items()} | {"f": (0, None)}

@@ -3,6 +3,7 @@
 import datetime as dt
 import math
 import random
+import shutil
 
 import numpy as np
 import pytest
@@ -20,7 +21,7 @@ from quayline.operators.upsert import last_per_key, raw_only, rebuild, upsert, w
 from quayline.plans.texts import day_first
 from quayline.schema import KEYS, TABLES, empty, exists, truncated
 from quayline.sources import files, pages
-from quayline.streaming.live import live_index, upsert_stream
+from quayline.streaming.live import live_index, read_state, upsert_stream
 
 
 def one(spark, column):
@@ -101,6 +102,19 @@ def test_dictionary_matching():
     assert relevance_weight(0.85, "x" * 79) == 0.595 and relevance_weight(0.05, "x" * 99) == 0.1
 
 
+def test_any_number_of_aliases(spark, monkeypatch):
+    """Aliases in several blocks link the same entities as in one, the two passes over them included."""
+    from quayline.operators import dictionary
+
+    names = [("FPT", "FPT", "ticker", 1.0, "fpt"), ("HPG", "Hòa Phát", "short_name", 0.85, "hoa phat"), ("HPG", "Hòa Phát Group", "company_name", 0.9, "x"), ("HPG", "HPG", "ticker", 1.0, None), ("VNM", "Sữa", "short_name", 0.5, "sua"), ("VNX", "Sữa", "short_name", 0.4, "sua")]
+    aliases = spark.createDataFrame(names, "ticker string, alias string, alias_type string, weight double, alias_normalized string")
+    texts = [("1", ["FPT lên.", "Hòa Phát Group và HPG tăng.", "Sữa đứng giá."], ["HPG"]), ("2", ["Sữa tăng.", "FPT giảm, FPT."], ["ABC"]), ("3", ["Không có gì."], []), ("4", None, None), ("5", ["Sữa và HPG."], [])]
+    rows = spark.createDataFrame(texts, "article_id string, sentences array<string>, detected_tickers array<string>")
+    one = sorted(map(tuple, dictionary.linked_entities(rows, aliases).collect()))
+    monkeypatch.setattr(dictionary, "BLOCK", 2)
+    assert sorted(map(tuple, dictionary.linked_entities(rows, aliases).collect())) == one and len(one) == 7
+
+
 def test_window_encoding():
     rows = np.array([[0.01, 1, 0.2], [0.03, 1, -0.1], [0.02, 1, 0.0]])
     assert np.allclose(encode(rows, 3)[0], [-1.224745, 0, 0.2, 1.224745, 0, -0.1, 0, 0, 0], atol=1e-6)
@@ -201,11 +215,17 @@ def test_streams(spark, tmp_path):
     got = {(r.ticker, str(r.date)): (round(r.sentiment_index, 6), r.final_sentiment) for r in spark.table("live").collect()}
     assert got == {("A", "2025-01-01"): (0.56, "positive"), ("B", "2025-01-02"): (-0.5, "negative")}
     kind = "k int, seq int, v string"
-    for part in ([(1, 1, "a"), (2, 1, "b")], [(1, 2, "c")]):
-        spark.createDataFrame(part, kind).coalesce(1).write.mode("append").parquet(str(tmp_path / "changes"))
+    steps = [([(1, 1, "a"), (2, 1, "b")], {(1, "a"), (2, "b")}), ([(1, 2, "c")], {(1, "c"), (2, "b")}), ([(3, 1, "d")], {(1, "c"), (2, "b"), (3, "d")}), ([(3, 2, "e")], {(1, "c"), (2, "b"), (3, "e")})]
+    for rows, want in steps:
+        spark.createDataFrame(rows, kind).coalesce(1).write.mode("append").parquet(str(tmp_path / "changes"))
         changes = spark.readStream.schema(kind).parquet(str(tmp_path / "changes"))
         upsert_stream(changes, str(tmp_path / "state"), ["k"], "seq", str(tmp_path / "cp")).awaitTermination()
-    last = max(p.name for p in (tmp_path / "state").iterdir() if p.name.startswith("v"))
-    assert {(r.k, r.v) for r in spark.read.parquet(str(tmp_path / "state" / last)).collect()} == {(1, "c"), (2, "b")}
+        assert {(r.k, r.v) for r in read_state(spark, str(tmp_path / "state")).collect()} == want
+    assert sorted(p.name for p in (tmp_path / "state").iterdir() if p.name.startswith("m")) == ["m2", "m3"]
+    shutil.rmtree(tmp_path / "state")
+    spark.createDataFrame([(9, 1, "z")], kind).coalesce(1).write.mode("append").parquet(str(tmp_path / "changes"))
+    with pytest.raises(Exception, match="no version"):
+        upsert_stream(spark.readStream.schema(kind).parquet(str(tmp_path / "changes")), str(tmp_path / "state"), ["k"], "seq", str(tmp_path / "cp")).awaitTermination()
+
 
 
