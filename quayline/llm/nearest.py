@@ -53,7 +53,7 @@ def nearest(queries: DataFrame, targets: DataFrame, tolerance_us: int, bucket_us
     queries, targets = columns(queries, "id", "entity", "us"), columns(targets, "entity", "us")
     targets = targets.where("entity is not null and us is not null")
     queries = queries.where("id is not null and entity is not null and us is not null").distinct()
-    groups = max(parallelism(spark), math.ceil(targets.count() / GROUP_ROWS))
+    groups = max(parallelism(spark), math.ceil((targets.count() + queries.count()) / GROUP_ROWS))
     block = lambda c: F.floor(c / F.lit(bucket_us)).cast("long")
     low, high = block(F.col("us") - tolerance_us), block(F.col("us") + tolerance_us)
     spread = lambda df: df.withColumn("g", F.pmod(F.xxhash64("entity", "bucket"), F.lit(groups)).cast("int"))
