@@ -327,6 +327,7 @@ SQL = {
     "src_19_bars_with_returns": "",
     "src_20_dataset": f"{_P} select date, ticker, sector from panel where sentiment_score is not null and forward_return_1d is not null order by date, ticker",
     "src_24_samples": f"with {base.SCORES} select final_sentiment as label, count(*) as n from scores where final_sentiment in ('positive', 'negative') group by 1",
+    "src_22_exists": "select * from (values ('src_known', true), ('src_unknown', false)) v(name, there)",
     "str_03_toneless": "select ticker, strip_accents(company_name) as out from ticker_master",
     "str_04_ascii": f"select ticker, lower({_BARE.format('company_name')}) as out from ticker_master",
     "str_21_weights": f"select id, round(greatest(0.1, least(1.0, case when length(alias) < 20 then weight * 0.7 else weight end)) + {base.OFF_TIE:.11f}, 3) as relevance_weight from ticker_aliases where weight is not null",
