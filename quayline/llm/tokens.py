@@ -16,11 +16,13 @@ import array
 import functools
 import json
 from collections.abc import Iterator
+from pathlib import Path
 
 import ahocorasick
 import numpy as np
 import pyarrow as pa
 import regex
+import xxhash
 from pyspark.sql import DataFrame
 
 from .arrow import batches, lists, narrow
@@ -41,9 +43,8 @@ def _byte_letters() -> dict[str, int]:
 class Encoder:
     """The vocabulary of one file and the memo of its pieces."""
 
-    def __init__(self, path: str) -> None:
-        with open(path, encoding="utf-8") as f:
-            model = json.load(f)["model"]
+    def __init__(self, data: bytes) -> None:
+        model = json.loads(data)["model"]
         letters, vocab = _byte_letters(), model["vocab"]
         self.length = [0] * (max(vocab.values()) + 1)
         self.parts: list[tuple[int, int] | None] = [None] * len(self.length)
@@ -144,17 +145,22 @@ class Encoder:
         return ids, np.diff(np.concatenate([[0], border[ends]]))
 
 
-_encoder = functools.cache(Encoder)
+_ENCODERS: dict[str, Encoder] = {}
 
 
-def _encode(it: Iterator[pa.RecordBatch], path: str) -> Iterator[pa.RecordBatch]:
-    encoder = _encoder(path)
+def _encode(it: Iterator[pa.RecordBatch], sent, key: str) -> Iterator[pa.RecordBatch]:
+    if key not in _ENCODERS:
+        _ENCODERS.clear()
+        _ENCODERS[key] = Encoder(sent.value)
     for batch in batches(it, 1000):
-        ids, counts = encoder.encode(batch.column(1).to_pylist())
+        ids, counts = _ENCODERS[key].encode(batch.column(1).to_pylist())
         yield pa.RecordBatch.from_arrays([batch.column(0), lists(ids, counts)], ["id", "ids"])
 
 
 def encode_texts(records: DataFrame, key: str, text: str, tokenizer: str = "byte_bpe_50k", folder: str = TOKENIZERS) -> DataFrame:
-    """(key, ids) of every row."""
+    """(key, ids) of every row. The vocabulary file is read by the driver alone and sent to the workers."""
+    data = Path(folder, f"{tokenizer}.json").read_bytes()
+    sent = records.sparkSession.sparkContext.broadcast(data)
     kind = narrow(records, key).schema[0].dataType.simpleString()
-    return narrow(records, key, text).mapInArrow(functools.partial(_encode, path=f"{folder}/{tokenizer}.json"), f"id {kind}, ids array<int>").withColumnRenamed("id", key)
+    run = functools.partial(_encode, sent=sent, key=xxhash.xxh64_hexdigest(data))
+    return narrow(records, key, text).mapInArrow(run, f"id {kind}, ids array<int>").withColumnRenamed("id", key)
