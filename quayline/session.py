@@ -60,7 +60,7 @@ def shared_folder(spark: SparkSession) -> str:
 def written(df: DataFrame) -> DataFrame:
     """Cut the lineage by a table in the shared folder.
 
-    Unlike a checkpoint it is compressed, read by columns, and its size is known, so that the planner
+    Unlike a checkpoint of rows it is compressed, read by columns, and its size is known, so that the planner
     broadcasts it only if it is as small as the session allows.
     """
     path = shared_folder(df.sparkSession)
@@ -77,19 +77,6 @@ def release(spark: SparkSession) -> None:
         path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
-def checkpoint(df: DataFrame) -> DataFrame:
-    """Cut the lineage through reliable storage.
-
-    The folder is the one the cluster names in ``spark.checkpoint.dir``; only where that is unset
-    on a single machine (tests, a laptop) a folder of our own is made.
-    """
-    spark = df.sparkSession
-    jsc = spark.sparkContext._jsc.sc()
-    if not jsc.getCheckpointDir().isDefined():
-        spark.sparkContext.setCheckpointDir(_named_folder(spark) or _own_folder(spark))
-    return df.checkpoint()
-
-
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """One of the Parquet tables of a data directory."""
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
